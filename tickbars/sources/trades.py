@@ -15,17 +15,18 @@ def decode_envelopes(messages: DataFrame) -> DataFrame:
     Envelopes of any other type (pings, errors) and envelopes without data give no ticks. The time
     is in epoch milliseconds, the volume is truncated to whole units and is 0 when missing.
     """
-    trades = (
-        messages.select(F.from_json(F.col("value").cast("string"), TRADE_ENVELOPE).alias("envelope"))
-        .filter(F.col("envelope.type") == "trade")
-        .select(F.explode("envelope.data").alias("trade"))
+    envelope = F.from_json(F.col("value").cast("string"), TRADE_ENVELOPE)
+    # The type is tested inside the generator, so that the message is parsed once.
+    trades = messages.select(envelope.alias("envelope")).select(
+        F.explode(F.when(F.col("envelope.type") == "trade", F.col("envelope.data"))).alias("trade")
     )
     volume = F.coalesce(F.col("trade.v"), F.lit("0")).try_cast("double").try_cast("bigint")
-    ticks = trades.select(
+    fields = F.struct(
         F.col("trade.s").alias("symbol"),
         F.timestamp_millis("trade.t").alias("event_time"),
         F.col("trade.p").try_cast("double").try_cast(PRICE).alias("price"),
         volume.alias("volume"),
         F.lit(LIVE_SOURCE).alias("source"),
     )
+    ticks = trades.select(F.inline(F.array(fields)))
     return check_ticks(ticks)

@@ -25,7 +25,7 @@ def landed_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 def decode_payloads(payloads: DataFrame) -> DataFrame:
     """(symbol, payload) -> (symbol, status, values)."""
-    return payloads.select("symbol", F.from_json("payload", VENDOR_PAYLOAD).alias("body")).select("symbol", "body.*")
+    return payloads.select("symbol", F.inline(F.array(F.from_json("payload", VENDOR_PAYLOAD))))
 
 
 def _all_bars(payloads: DataFrame) -> DataFrame:
