@@ -47,7 +47,8 @@ def check_rows(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """Cast rows to the table's types and add `reject_reason` for NOT NULL, range and length rules.
 
     A value that cannot be held by its column type (number out of range, unreadable text) is told
-    apart from a missing one. Columns absent from `rows` are filled with their default or null.
+    apart from a missing one. Columns absent from `rows` are filled with their default or null, and
+    columns the table does not have are passed on.
     """
     checks, casts = [], []
     for f in spec.columns.fields:
@@ -65,7 +66,8 @@ def check_rows(rows: DataFrame, spec: TableSpec) -> DataFrame:
         if f.name in spec.limits:
             limit = spec.limits[f.name]
             checks.append((F.char_length(given.cast("string")) > limit, f"{f.name} longer than {limit}"))
-    return rows.select(*casts, first_reason(checks).alias(REASON))
+    extra = [c for c in rows.columns if c not in spec.columns.fieldNames()]
+    return rows.select(*casts, *extra, first_reason(checks).alias(REASON))
 
 
 def key_violations(rows: DataFrame, key: Sequence[str]) -> DataFrame:

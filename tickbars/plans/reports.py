@@ -24,6 +24,12 @@ REPORT_COLUMNS = [
 ]
 
 
+def scan_range(from_epoch: int, to_epoch: int) -> tuple[Column, Column]:
+    """Bounds of the stored rows that a series over the closed range can need: its whole hours."""
+    start, end = F.timestamp_seconds(F.lit(from_epoch)), F.timestamp_seconds(F.lit(to_epoch))
+    return hour_of(start), hour_of(end) + F.expr("INTERVAL 1 HOUR")
+
+
 def _selected_candles(
     candles: DataFrame, backfill: DataFrame, symbol: str, from_epoch: int, to_epoch: int, columns: list[str]
 ) -> DataFrame:
@@ -35,7 +41,7 @@ def _selected_candles(
     start, end = F.timestamp_seconds(F.lit(from_epoch)), F.timestamp_seconds(F.lit(to_epoch))
     live = candles.filter(F.col("symbol") == symbol)
     bars = starting_between(backfill.filter(F.col("symbol") == symbol), start, end)
-    around = starting_in(live, hour_of(start), hour_of(end) + F.expr("INTERVAL 1 HOUR"))
+    around = starting_in(live, *scan_range(from_epoch, to_epoch))
     filled = bars_outside_live_hours(bars.select("symbol", "candle_start", *columns), live_hours(around))
     return starting_between(live, start, end).select(*filled.columns).unionByName(filled)
 

@@ -41,8 +41,8 @@ def refresh_summary(
     """Recompute the summary from the stored tables and upsert it by symbol.
 
     Reads the two newest dates of each table. Symbols without data in the window keep their row.
-    Rows that break a table rule (a zero open has no percent change) are left out; the others are
-    still written.
+    A row that breaks a table rule (a zero open has no percent change) is stored as a reject; the
+    others are still written.
     """
     as_of = instant(as_of)
     since = lookback_start(as_of)

@@ -4,6 +4,9 @@ Plain Parquet has no MERGE, so an upsert writes the new rows beside the old ones
 the newest version of each key. A micro-batch therefore never rewrites older data. One write goes to
 `<path>/run=<writer start>/batch_id=<n>`: writing the same batch again replaces that folder, so
 a replay after a failure changes nothing. Time tables are split by `candle_date` below that.
+
+Rows that break a table rule are stored in the same write with a `reject_reason`. Readers skip them, so
+one bad row neither fails the batch nor replaces a good row, and none is lost.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickbars.functions import latest_by_key, pair_order
-from tickbars.operators.quality import accepted, check_rows, rejected
+from tickbars.operators.quality import REASON, accepted, check_rows, rejected
 from tickbars.schemas import CANDLES_1H_BACKFILL, CANDLES_1M, PAIR_ANALYSIS_24H, TableSpec
 
 _LAYOUT = [T.StructField("run", T.LongType()), T.StructField("batch_id", T.LongType())]
@@ -33,41 +36,42 @@ class KeyedTable:
         return self
 
     def upsert(
-        self, rows: DataFrame, run: int, batch_id: int, order_by: Column | None = None, rebalance: bool = True
+        self, rows: DataFrame, run: int, batch_id: int, order_by: Column | None = None, files: int | None = None
     ) -> None:
         """Insert the rows, replacing the stored row of an equal key.
 
         `run` is the start time of the writer (> 0), `batch_id` counts its writes.
-        Rows must be unique by key unless `order_by` is given; then the last one per key wins.
-        `rebalance` sizes the output files at run time and splits a large date over several tasks.
+        Rows must be unique by key unless `order_by` (never null) is given; then the last good row per
+        key wins. Output files are sized at run time, which also splits a large date over several
+        tasks; for a batch of known size, `files` skips that shuffle.
         """
         spec = self.spec
+        checked = check_rows(rows, spec)
         if order_by is not None:
-            rows = latest_by_key(rows, spec.key, order_by)
-        good = accepted(check_rows(rows, spec))
-        good = good.withColumn("updated_at", F.coalesce("updated_at", F.current_timestamp()))
+            checked = latest_by_key(checked, [*spec.key, REASON], order_by)
+        stored = checked.select(*spec.columns.fieldNames(), REASON).withColumn(
+            "updated_at", F.coalesce("updated_at", F.current_timestamp())
+        )
         target = f"{self.path}/run={run}/batch_id={batch_id}"
-        if spec.date_of is None:
-            good.write.mode("overwrite").parquet(target)
-            return
-        good = good.withColumn("candle_date", F.to_date(spec.date_of))
-        if rebalance:
-            good = good.hint("rebalance", "candle_date")
+        split = [] if spec.date_of is None else ["candle_date"]
+        if split:
+            stored = stored.withColumn("candle_date", F.to_date(spec.date_of))
+        stored = stored.hint("rebalance", *split) if files is None else stored.coalesce(files)
         # Sorted files let row-group statistics skip other symbols and times.
-        good.sortWithinPartitions("candle_date", *spec.key).write.mode("overwrite").partitionBy("candle_date").parquet(
-            target
-        )
+        stored.sortWithinPartitions(*split, *spec.key).write.mode("overwrite").partitionBy(*split).parquet(target)
+
+    def _stored(self, spark: SparkSession) -> DataFrame:
+        split = [] if self.spec.date_of is None else [T.StructField("candle_date", T.DateType())]
+        fields = [*self.spec.columns.fields, T.StructField(REASON, T.StringType()), *_LAYOUT, *split]
+        return spark.read.schema(T.StructType(fields)).parquet(self.path)
 
-    def rejects(self, rows: DataFrame) -> DataFrame:
-        """The rows `upsert` would refuse, with the reason."""
-        return rejected(check_rows(rows, self.spec))
+    def rejects(self, spark: SparkSession) -> DataFrame:
+        """Refused rows of all writes, with the reason."""
+        return rejected(self._stored(spark))
 
     def versions(self, spark: SparkSession, since: Column | None = None, until: Column | None = None) -> DataFrame:
-        """All stored versions with `run` and `batch_id`, pruned to dates of [since, until]."""
-        layout = list(_LAYOUT)
-        if self.spec.date_of is not None:
-            layout.append(T.StructField("candle_date", T.DateType()))
-        rows = spark.read.schema(T.StructType([*self.spec.columns.fields, *layout])).parquet(self.path)
+        """All good stored versions with `run` and `batch_id`, pruned to dates of [since, until]."""
+        rows = accepted(self._stored(spark))
         if since is not None:
             rows = rows.filter((F.col("candle_date") >= F.to_date(since)) & (F.col(self.spec.date_of) >= since))
         if until is not None:

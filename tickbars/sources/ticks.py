@@ -55,19 +55,6 @@ def encode_ticks(ticks: DataFrame) -> DataFrame:
     return ticks.select(F.col("symbol").cast("binary").alias("key"), value.cast("binary").alias("value"), *offset)
 
 
-def publish(ticks: DataFrame, servers: str, checkpoint: str, topic: str = TICK_TOPIC):
-    """Write a tick stream to a Kafka topic, keyed by symbol so one symbol stays in one partition."""
-    return (
-        encode_ticks(ticks)
-        .select("key", "value")
-        .writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )
-
-
 def decode_ticks(messages: DataFrame) -> DataFrame:
     """Messages -> ticks. Bad JSON or a wrong-typed field gives nulls, to be split off by `check_ticks`.
 

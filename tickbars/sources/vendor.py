@@ -34,24 +34,19 @@ def _all_bars(payloads: DataFrame) -> DataFrame:
     An offset in the datetime text is overwritten by UTC, not converted: a cast to TIMESTAMP_NTZ
     ignores it. A missing volume is 0.
     """
-    bars = (
-        decode_payloads(payloads)
-        .filter(F.col("status") == "ok")
-        .select("symbol", F.posexplode("values").alias("position", "bar"))
-    )
+    decoded = decode_payloads(payloads)
+    bars = decoded.select("symbol", F.posexplode(F.when(F.col("status") == "ok", F.col("values"))).alias("position", "bar"))
     prices = {f"{n}_price": F.col(f"bar.{n}").try_cast("double").try_cast(PRICE) for n in ("open", "high", "low", "close")}
-    volume = F.coalesce("bar.volume", F.lit("0")).try_cast("double").try_cast("bigint")
     start = F.col("bar.datetime").try_cast("timestamp_ntz").cast("timestamp")
-    typed = bars.select(
-        "symbol",
+    fields = F.struct(
         F.col("bar.datetime").alias("datetime"),
         start.alias("candle_start"),
         (start + F.expr("INTERVAL 1 HOUR")).alias("candle_end"),
         *(value.alias(name) for name, value in prices.items()),
-        volume.alias("volume"),
+        F.coalesce("bar.volume", F.lit("0")).try_cast("double").try_cast("bigint").alias("volume"),
         F.lit(BACKFILL_SOURCE).alias("source"),
-        "position",
     )
+    typed = bars.select("symbol", "position", F.inline(F.array(fields)))
     checks = [(F.col(name).isNull(), f"bad {name}") for name in ["candle_start", *prices, "volume"]]
     return typed.withColumn(REASON, first_reason(checks))
 

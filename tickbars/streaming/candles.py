@@ -17,6 +17,8 @@ from tickbars.sources.tables import MarketTables
 from tickbars.sources.ticks import decode_ticks
 
 FUTURE_TOLERANCE = "INTERVAL 10 MINUTES"
+# A micro-batch changes few candles per state partition; one file each would flood the table.
+CANDLES_PER_FILE = 500_000
 
 
 def checked_ticks(messages: DataFrame) -> DataFrame:
@@ -66,9 +68,10 @@ def start_candles(
         # Without this, each action would run the stateful plan again.
         batch.persist()
         try:
-            if batch.isEmpty():
+            changed = batch.count()
+            if changed == 0:
                 return
-            tables.candles.upsert(batch, run, batch_id, rebalance=False)
+            tables.candles.upsert(batch, run, batch_id, files=-(-changed // CANDLES_PER_FILE))
             if refresh:
                 refresh_summary(spark, tables, run, batch_id, as_of)
         finally:
