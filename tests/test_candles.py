@@ -1,0 +1,96 @@
+from helpers import candles, rows, ticks, wall
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tickbars.functions import pair_order
+from tickbars.operators.candles import hourly_candles, tick_candles
+
+OHLC = ["open_price", "high_price", "low_price", "close_price"]
+
+
+def test_equal_times_are_ordered_by_seq(spark):
+    t = "2024-01-01 00:00:05"
+    got = tick_candles(ticks(spark, [("A", t, "1", 1, 2), ("A", t, "2", 1, 1), ("A", t, "3", 1, 3)]))
+    assert rows(got, *OHLC) == [(2, 3, 1, 3)]
+
+
+def test_missing_seq_is_allowed(spark):
+    got = tick_candles(ticks(spark, [("A", "2024-01-01 00:00:05", "1", 1, None), ("A", "2024-01-01 00:00:06", "2", 1, None)]))
+    assert rows(got, *OHLC) == [(1, 2, 1, 2)]
+
+
+def test_zero_volume_falls_back_to_close(spark):
+    got = tick_candles(ticks(spark, [("A", "2024-01-01 00:00:05", "10", 0, 1), ("A", "2024-01-01 00:00:07", "12", 0, 2)]))
+    assert rows(got, "vwap", "volume", "trade_count") == [(12, 0, 2)]
+
+
+def test_null_volume_falls_back_to_close(spark):
+    got = tick_candles(ticks(spark, [("A", "2024-01-01 00:00:05", "1", None, 1), ("A", "2024-01-01 00:00:07", "2", None, 2)]))
+    assert rows(got, "vwap") == [(2,)]
+
+
+def test_vwap_is_exact_and_rounded_half_up(spark):
+    got = tick_candles(ticks(spark, [("A", "2024-01-01 00:00:05", "0.000001", 1, 1), ("A", "2024-01-01 00:00:07", "0.000002", 1, 2)]))
+    assert rows(got, "vwap") == [(0.000002,)]
+
+
+def test_window_is_half_open_and_epoch_aligned(spark):
+    got = tick_candles(
+        ticks(spark, [("A", "2024-01-01 00:00:59.999999", "1", 1, 1), ("A", "2024-01-01 00:01:00", "2", 1, 2)])
+    ).orderBy("candle_start")
+    assert rows(got, "candle_start", "candle_end", "open_price") == [
+        (wall("2024-01-01 00:00"), wall("2024-01-01 00:01"), 1),
+        (wall("2024-01-01 00:01"), wall("2024-01-01 00:02"), 2),
+    ]
+
+
+def test_hours_of_minutes_equal_hours_of_ticks(spark):
+    from tickbars.sources.events import events_as_ticks
+
+    source = events_as_ticks(spark, "/root/testdata/sf0.01")
+    by_minutes = hourly_candles(tick_candles(source))
+    by_ticks = tick_candles(source, "1 hour").select(*by_minutes.columns)
+    assert by_minutes.exceptAll(by_ticks).isEmpty() and by_ticks.exceptAll(by_minutes).isEmpty()
+
+
+def test_partial_hour_ends_on_the_hour(spark):
+    live = candles(spark, [("A", f"2024-01-01 10:0{m}:00", "1", "2", "1", str(m + 1), 60) for m in range(5)])
+    assert rows(hourly_candles(live), "candle_start", "candle_end", "close_price", "volume") == [
+        (wall("2024-01-01 10:00"), wall("2024-01-01 11:00"), 5, 300)
+    ]
+
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(-(10**17), 10**17), st.integers(0, 2**63 - 1)), min_size=2, max_size=30))
+def test_pair_order_sorts_like_the_pair(spark, pairs):
+    df = spark.createDataFrame(pairs, "a BIGINT, b BIGINT").withColumn("o", pair_order(F.col("a"), F.col("b")))
+    assert [tuple(r) for r in df.orderBy("o").select("a", "b").collect()] == sorted(pairs)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(st.sampled_from("AB"), st.integers(0, 179), st.integers(0, 10**9), st.integers(0, 50)),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_candles_equal_brute_force(spark, raw):
+    source = [(s, f"2024-01-01 00:{sec // 60:02d}:{sec % 60:02d}", str(p / 10**6), v, i) for i, (s, sec, p, v) in enumerate(raw)]
+    want = {}
+    for i, (s, sec, p, v) in sorted(enumerate(raw), key=lambda x: (x[1][1], x[0])):
+        want.setdefault((s, sec // 60), []).append((p, v))
+    got = {}
+    for r in tick_candles(ticks(spark, source)).collect():
+        got[(r.symbol, r.candle_start.minute)] = tuple(
+            int(x * 10**6) for x in (r.open_price, r.high_price, r.low_price, r.close_price, r.vwap)
+        ) + (r.volume, r.trade_count)
+    expected = {}
+    for key, group in want.items():
+        prices, volume = [p for p, _ in group], sum(v for _, v in group)
+        total = sum(p * v for p, v in group)
+        vwap = (2 * total + volume) // (2 * volume) if volume else prices[-1]
+        expected[key] = (prices[0], max(prices), min(prices), prices[-1], vwap, volume, len(group))
+    assert got == expected

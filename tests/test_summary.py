@@ -1,0 +1,93 @@
+import pytest
+from helpers import at, candles, rows, wall
+from pyspark.sql import functions as F
+
+from tickbars.functions import instant
+from tickbars.operators.coverage import bars_outside_live_hours, combined_hourly, live_hours, uncovered_bars
+from tickbars.operators.rollup import symbol_rollup, with_price_change
+from tickbars.plans.summary import live_hourly_24h, pair_analysis_24h
+from tickbars.schemas import PAIR_ANALYSIS_24H
+from tickbars.sources.tables import KeyedTable
+
+
+@pytest.fixture
+def as_of(spark):
+    return instant("2024-01-02T00:00:00")
+
+
+def hour(spark, *items):
+    return candles(spark, list(items), minutes=60)
+
+
+def test_one_live_minute_suppresses_the_hour(spark, as_of):
+    live = candles(spark, [("A", "2024-01-01 10:59:00", "1", "1", "1", "1", 1)])
+    bars = hour(spark, ("A", "2024-01-01 10:00:00", "7", "7", "7", "7", 7), ("A", "2024-01-01 11:00:00", "8", "8", "8", "8", 8))
+    got = combined_hourly(live_hourly_24h(live, as_of), bars).orderBy("candle_start")
+    assert rows(got, "candle_start", "open_price", "volume") == [
+        (wall("2024-01-01 10:00"), 1, 1),
+        (wall("2024-01-01 11:00"), 8, 8),
+    ]
+
+
+def test_other_symbols_are_not_suppressed(spark, as_of):
+    live = candles(spark, [("B", "2024-01-01 10:59:00", "1", "1", "1", "1", 1)])
+    bars = hour(spark, ("A", "2024-01-01 10:00:00", "7", "7", "7", "7", 7))
+    assert uncovered_bars(bars, live_hourly_24h(live, as_of)).count() == 1
+
+
+def test_off_the_hour_bar_counts_in_the_summary_but_not_in_the_chart(spark, as_of):
+    live = candles(spark, [("A", "2024-01-01 10:05:00", "1", "1", "1", "1", 1)])
+    bars = hour(spark, ("A", "2024-01-01 10:30:00", "7", "7", "7", "7", 7))
+    assert uncovered_bars(bars, live_hourly_24h(live, as_of)).count() == 1
+    assert bars_outside_live_hours(bars, live_hours(live)).count() == 0
+
+
+def test_lookback_cuts_the_first_hour_midway(spark):
+    live = candles(
+        spark,
+        [
+            ("A", "2024-01-01 10:29:00", "1", "9", "1", "1", 1),
+            ("A", "2024-01-01 10:30:00", "2", "2", "2", "2", 2),
+            ("A", "2024-01-02 10:30:00", "3", "3", "3", "3", 4),
+        ],
+    )
+    bars = hour(spark, ("A", "2024-01-01 10:00:00", "7", "7", "7", "7", 7))
+    got = pair_analysis_24h(live, bars, instant("2024-01-02T10:30:00"))
+    assert rows(got, "window_start", "open_24h", "high_24h", "total_volume") == [(wall("2024-01-01 10:00"), 2, 2, 2)]
+
+
+def test_volume_per_minute_counts_present_hours_only(spark, as_of):
+    live = candles(spark, [("A", "2024-01-01 10:00:00", "1", "1", "1", "1", 60)])
+    bars = hour(spark, ("A", "2024-01-01 12:00:00", "2", "2", "2", "2", 30))
+    got = pair_analysis_24h(live, bars, as_of)
+    assert rows(got, "window_start", "window_end", "total_volume", "avg_volume_per_min", "avg_price") == [
+        (wall("2024-01-01 10:00"), wall("2024-01-01 13:00"), 90, 0.75, 1.5)
+    ]
+
+
+def test_empty_bars_have_no_rate(spark):
+    bars = hour(spark, ("A", "2024-01-01 12:00:00", "2", "2", "2", "2", 30)).withColumn("candle_end", F.col("candle_start"))
+    assert rows(symbol_rollup(bars), "avg_volume_per_min") == [(None,)]
+
+
+def test_change_and_rounding(spark):
+    bars = hour(
+        spark,
+        ("A", "2024-01-01 10:00:00", "3", "4", "3", "4", 1),
+        ("B", "2024-01-01 10:00:00", "2000000", "2000000", "1", "1999999", 1),
+    )
+    got = with_price_change(symbol_rollup(bars)).orderBy("symbol")
+    assert rows(got, "price_change", "price_change_pct") == [(1, 33.3333), (-1, -0.0001)]
+
+
+def test_zero_open_is_rejected_and_the_others_are_written(spark, tmp_path):
+    bars = hour(spark, ("A", "2024-01-01 10:00:00", "0", "1", "0", "1", 1), ("B", "2024-01-01 10:00:00", "1", "1", "1", "1", 1))
+    table = KeyedTable(str(tmp_path / "t"), PAIR_ANALYSIS_24H).create(spark)
+    table.upsert(with_price_change(symbol_rollup(bars)), 1, 0)
+    assert rows(table.read(spark), "symbol") == [("B",)]
+    assert rows(table.rejects(spark), "symbol", "reject_reason") == [("A", "price_change_pct is null")]
+
+
+def test_future_candles_are_outside_the_window(spark):
+    live = candles(spark, [("A", "2024-01-02 00:00:00", "1", "1", "1", "1", 1)])
+    assert live_hourly_24h(live, instant(at("2024-01-02 00:00"))).count() == 0

@@ -17,8 +17,7 @@ def landed_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Payload documents below `path/symbol=<symbol>/`, one request per file."""
     return (
         spark.read.schema("value STRING, symbol STRING")
-        .option("wholetext", True)
-        .text(path)
+        .text(path, wholetext=True)
         .select("symbol", F.col("value").alias("payload"))
     )
 
