@@ -37,7 +37,12 @@ def test_replay_and_empty_batch_change_nothing(spark, table):
     table.upsert(one(spark, price="5"), 1, 0)
     table.upsert(one(spark).limit(0), 1, 1)
     assert state(table, spark) == before
-    assert table.versions(spark).count() == 1
+
+
+def test_a_rewritten_batch_replaces_whole_rows(spark, table):
+    table.upsert(one(spark, price="5", volume=9), 1, 0)
+    table.upsert(one(spark, price="4", volume=10), 1, 0)
+    assert state(table, spark) == [("A", wall(DAY1), 4, 10)]
 
 
 def test_later_run_wins_over_more_batches(spark, table):

@@ -8,16 +8,23 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_ROOM_FOR_BIGINT = Decimal(10) ** 19
+def digit_order(*parts: tuple[Column, int]) -> Column:
+    """One DECIMAL(38,0) that sorts like the tuple of bigints, each with the number of digits it may take.
 
+    All but the first must be >= 0, and the widths add up to 38 at most. `min_by` over a struct keeps
+    a variable-length buffer, which forces a sort-based aggregate. A decimal buffer is fixed-width,
+    so the same aggregate runs hash-based.
+    """
+    order, width = None, 0
+    for column, digits in reversed(parts):
+        term = column.cast("decimal(19,0)") * F.lit(Decimal(10) ** width)
+        order = term if order is None else term + order
+        width += digits
+    return order
 
-def pair_order(major: Column, minor: Column) -> Column:
-    """One DECIMAL(38,0) that sorts like (major, minor), for bigints with minor >= 0.
 
-    `min_by` over a struct keeps a variable-length buffer, which forces a sort-based aggregate. A
-    decimal buffer is fixed-width, so the same aggregate runs hash-based.
-    """
-    return major.cast("decimal(19,0)") * F.lit(_ROOM_FOR_BIGINT) + minor.cast("decimal(19,0)")
+def pair_order(major: Column, minor: Column) -> Column:
+    return digit_order((major, 19), (minor, 19))
 
 
 def latest_by_key(rows: DataFrame, key: Sequence[str], order: Column) -> DataFrame:

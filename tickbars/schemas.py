@@ -72,14 +72,14 @@ VENDOR_PAYLOAD = T.StructType(
 class TableSpec:
     """A keyed table: typed columns, primary key, text limits, defaults, partition source.
 
-    `nullable` names the columns without a NOT NULL rule. `version` is the pair of columns that
-    decides which of several rows with one key is current: the larger pair wins.
+    `nullable` names the columns without a NOT NULL rule. `version` names the columns (with the digits
+    they may take) that decide which of several rows with one key is current: the largest wins.
     """
 
     name: str
     columns: T.StructType
     key: tuple[str, ...]
-    version: tuple[str, str]
+    version: tuple[tuple[str, int], ...]
     limits: dict[str, int] = field(default_factory=dict)
     defaults: dict[str, object] = field(default_factory=dict)
     nullable: tuple[str, ...] = ("updated_at",)
@@ -96,6 +96,10 @@ def _columns(*pairs: tuple[str, T.DataType]) -> T.StructType:
 
 _OHLC = tuple((f"{name}_price", PRICE) for name in ("open", "high", "low", "close"))
 
+# A writer's start in milliseconds, its batch number, and the write time in microseconds for a batch that
+# is written again.
+_WRITER_ORDER = (("run", 13), ("batch_id", 9), ("updated_at", 16))
+
 CANDLES_1M = TableSpec(
     name="candles_1m",
     columns=_columns(
@@ -109,7 +113,7 @@ CANDLES_1M = TableSpec(
         ("updated_at", T.TimestampType()),
     ),
     key=("symbol", "candle_start"),
-    version=("run", "batch_id"),
+    version=_WRITER_ORDER,
     limits={"symbol": 20},
     date_of="candle_start",
 )
@@ -126,7 +130,7 @@ CANDLES_1H_BACKFILL = TableSpec(
         ("updated_at", T.TimestampType()),
     ),
     key=("symbol", "candle_start"),
-    version=("run", "batch_id"),
+    version=_WRITER_ORDER,
     limits={"symbol": 20, "source": 30},
     defaults={"source": LIVE_SOURCE},
     date_of="candle_start",
@@ -152,6 +156,6 @@ PAIR_ANALYSIS_24H = TableSpec(
         ("updated_at", T.TimestampType()),
     ),
     key=("symbol",),
-    version=("updated_at", "run"),
+    version=(("updated_at", 19), ("run", 19)),
     limits={"symbol": 20},
 )

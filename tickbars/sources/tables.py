@@ -1,9 +1,9 @@
 """Keyed tables on Parquet with insert-or-replace semantics.
 
-Plain Parquet has no MERGE, so an upsert writes the new rows beside the old ones and the reader keeps
-the newest version of each key. A micro-batch therefore never rewrites older data. One write goes to
-`<path>/run=<writer start>/batch_id=<n>`: writing the same batch again replaces that folder, so
-a replay after a failure changes nothing. Time tables are split by `candle_date` below that.
+Plain Parquet has no MERGE, so an upsert appends the new rows and the reader keeps the newest version of
+each key. A micro-batch therefore never rewrites or deletes data, a task or driver lost in the middle
+leaves nothing half-replaced, and a batch replayed after a failure appends the same rows again, which
+changes nothing. Time tables are split by `candle_date` only: listing a year is listing 365 folders.
 
 Rows that break a table rule are stored in the same write with a `reject_reason`. Readers skip them, so
 one bad row neither fails the batch nor replaces a good row, and none is lost.
@@ -17,11 +17,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickbars.functions import latest_by_key, pair_order
+from tickbars.functions import digit_order, latest_by_key
 from tickbars.operators.quality import REASON, accepted, check_rows, rejected
 from tickbars.schemas import CANDLES_1H_BACKFILL, CANDLES_1M, PAIR_ANALYSIS_24H, TableSpec
 
-_LAYOUT = [T.StructField("run", T.LongType()), T.StructField("batch_id", T.LongType())]
+_VERSION = [
+    T.StructField(REASON, T.StringType()),
+    T.StructField("run", T.LongType()),
+    T.StructField("batch_id", T.LongType()),
+]
 
 
 @dataclass(frozen=True)
@@ -31,10 +35,17 @@ class KeyedTable:
 
     def create(self, spark: SparkSession) -> KeyedTable:
         """Create the empty table unless it exists."""
-        empty = spark.createDataFrame([], T.StructType([*self.spec.columns.fields, *_LAYOUT]))
-        empty.write.mode("ignore").partitionBy("run", "batch_id").parquet(self.path)
+        spark.createDataFrame([], self._layout()).write.mode("ignore").partitionBy(*self._split).parquet(self.path)
         return self
 
+    @property
+    def _split(self) -> list[str]:
+        return [] if self.spec.date_of is None else ["candle_date"]
+
+    def _layout(self) -> T.StructType:
+        split = [T.StructField(name, T.DateType()) for name in self._split]
+        return T.StructType([*self.spec.columns.fields, *_VERSION, *split])
+
     def upsert(
         self, rows: DataFrame, run: int, batch_id: int, order_by: Column | None = None, files: int | None = None
     ) -> None:
@@ -49,21 +60,21 @@ class KeyedTable:
         checked = check_rows(rows, spec)
         if order_by is not None:
             checked = latest_by_key(checked, [*spec.key, REASON], order_by)
-        stored = checked.select(*spec.columns.fieldNames(), REASON).withColumn(
-            "updated_at", F.coalesce("updated_at", F.current_timestamp())
+        stored = (
+            checked.select(*spec.columns.fieldNames(), REASON)
+            .withColumn("updated_at", F.coalesce("updated_at", F.current_timestamp()))
+            .withColumn("run", F.lit(run).cast("bigint"))
+            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         )
-        target = f"{self.path}/run={run}/batch_id={batch_id}"
-        split = [] if spec.date_of is None else ["candle_date"]
-        if split:
+        if self._split:
             stored = stored.withColumn("candle_date", F.to_date(spec.date_of))
-        stored = stored.hint("rebalance", *split) if files is None else stored.coalesce(files)
+        stored = stored.hint("rebalance", *self._split) if files is None else stored.coalesce(files)
         # Sorted files let row-group statistics skip other symbols and times.
-        stored.sortWithinPartitions(*split, *spec.key).write.mode("overwrite").partitionBy(*split).parquet(target)
+        stored = stored.sortWithinPartitions(*self._split, *spec.key)
+        stored.write.mode("append").partitionBy(*self._split).parquet(self.path)
 
     def _stored(self, spark: SparkSession) -> DataFrame:
-        split = [] if self.spec.date_of is None else [T.StructField("candle_date", T.DateType())]
-        fields = [*self.spec.columns.fields, T.StructField(REASON, T.StringType()), *_LAYOUT, *split]
-        return spark.read.schema(T.StructType(fields)).parquet(self.path)
+        return spark.read.schema(self._layout()).parquet(self.path)
 
     def rejects(self, spark: SparkSession) -> DataFrame:
         """Refused rows of all writes, with the reason."""
@@ -80,10 +91,9 @@ class KeyedTable:
 
     def read(self, spark: SparkSession, since: Column | None = None, until: Column | None = None) -> DataFrame:
         """Current rows. For time tables, `since` / `until` (both inclusive) prune dates and row groups."""
-        major, minor = (
-            F.unix_micros(c) if c in self.spec.columns.fieldNames() else F.col(c) for c in self.spec.version
-        )
-        rows = latest_by_key(self.versions(spark, since, until), self.spec.key, pair_order(major, minor))
+        times = [f.name for f in self.spec.columns.fields if isinstance(f.dataType, T.TimestampType)]
+        parts = [(F.unix_micros(c) if c in times else F.col(c), digits) for c, digits in self.spec.version]
+        rows = latest_by_key(self.versions(spark, since, until), self.spec.key, digit_order(*parts))
         return rows.select(*self.spec.columns.fieldNames())
 
     def compact(self, spark: SparkSession, target_path: str) -> KeyedTable:
