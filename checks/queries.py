@@ -97,7 +97,7 @@ def live_hourly_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def backfill_hourly_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the stored table, pruned to the dates of the window."""
-    table = _tables(spark, "backfill_hourly_24h").backfill
+    table = _tables(spark, "backfill_hourly_24h").backfill.create(spark)
     table.upsert(_backfill(spark, sf_dir), run=1, batch_id=0)
     as_of = instant(AS_OF)
     return to_ntz(summary.backfill_hourly_24h(table.read(spark, lookback_start(as_of), as_of), as_of))
@@ -113,7 +113,7 @@ def pair_analysis_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pair_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the stored summary."""
-    table = _tables(spark, "pair_report").summary
+    table = _tables(spark, "pair_report").summary.create(spark)
     rows = summary.pair_analysis_24h(*_last_day(spark, sf_dir), instant(AS_OF))
     table.upsert(rows.withColumn("updated_at", instant(AS_OF)), run=1, batch_id=0)
     return to_ntz(reports.pair_report(table.read(spark)))
@@ -260,12 +260,12 @@ def key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tables(spark: SparkSession, name: str) -> MarketTables:
-    return MarketTables(work_dir(use_utc(spark), name)).create(spark)
+    return MarketTables(work_dir(use_utc(spark), name))
 
 
 def upsert_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live candles, then corrected candles of all hours since the 16th, then that batch again."""
-    table = _tables(spark, "upsert_candles").candles
+    table = _tables(spark, "upsert_candles").candles.create(spark)
     table.upsert(_live(spark, sf_dir), run=1, batch_id=0)
     corrected = (
         tick_candles(_ticks(spark, sf_dir, since=CORRECTED_FROM))
@@ -280,7 +280,7 @@ def upsert_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load with every bar twice, the last without source; then a second load of the afternoons."""
-    table = _tables(spark, "upsert_backfill").backfill
+    table = _tables(spark, "upsert_backfill").backfill.create(spark)
     bars = _bars(spark, sf_dir)
     twice = bars.withColumn("position", F.explode(F.array(F.lit(1), F.lit(2))))
     first = F.col("position") == 1
@@ -299,7 +299,7 @@ def upsert_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_pair_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summaries as of three days. `view` has no data in the newest, the oldest is written last."""
-    table = _tables(spark, "upsert_pair_analysis").summary
+    table = _tables(spark, "upsert_pair_analysis").summary.create(spark)
     for run, as_of in enumerate([CORRECTED_FROM, AS_OF, CORRECTED_FROM - 5 * DAY], start=1):
         ticks = _ticks(spark, sf_dir, as_of - DAY, as_of)
         if as_of == AS_OF:
@@ -312,7 +312,7 @@ def upsert_pair_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def backfill_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The backfill job: stored live candles, loaded payloads, refreshed summary as of the 30th."""
-    tables = _tables(spark, "backfill_refresh")
+    tables = _tables(spark, "backfill_refresh").create(spark)
     since = FETCH_TO - DAY
     tables.candles.upsert(_live(spark, sf_dir, since), run=1, batch_id=0)
     load_backfill(spark, _payloads(spark, sf_dir), tables, SYMBOLS, as_of=FETCH_TO, run=2)

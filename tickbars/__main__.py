@@ -72,7 +72,8 @@ def _report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.name == "pairs":
         return reports.pair_report(tables.summary.read(spark))
     if args.name == "symbols":
-        return reports.symbol_list(tables.candles.read(spark), tables.backfill.read(spark))
+        # Every stored version names its symbol, so they need not be merged first.
+        return reports.symbol_list(tables.candles.versions(spark), tables.backfill.versions(spark))
     since, until = reports.scan_range(args.from_epoch, args.to_epoch)
     series = reports.candlestick_series if args.name == "candlesticks" else reports.volume_series
     live, bars = (table.read(spark, since, until) for table in (tables.candles, tables.backfill))

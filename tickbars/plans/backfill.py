@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,9 +58,7 @@ def load_backfill(
     A payload that failed is reported and the others are loaded. Bars of one symbol and start
     replace each other in payload order.
     """
-    if as_of is None:
-        as_of = datetime.now().astimezone()
-    end = instant(as_of)
+    end = instant(datetime.now(timezone.utc) if as_of is None else as_of)
     run = run or int(time.time() * 1000)
     tables.create(spark)
     bars = decode_bars(payloads, lookback_start(end, hours), end)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,11 +40,12 @@ def refresh_summary(
 ) -> None:
     """Recompute the summary from the stored tables and upsert it by symbol.
 
-    Reads the two newest dates of each table. Symbols without data in the window keep their row.
+    Reads the two dates of the window from each table. Symbols without data in the window keep their row.
     A row that breaks a table rule (a zero open has no percent change) is stored as a reject; the
     others are still written.
     """
-    as_of = instant(as_of)
+    # One time for all parts of the refresh, and a literal that prunes dates.
+    as_of = instant(datetime.now(timezone.utc) if as_of is None else as_of)
     since = lookback_start(as_of)
     # Read twice by the coverage join; one row per symbol and hour, so it is small next to its input.
     live = live_hourly_24h(tables.candles.read(spark, since, as_of), as_of).persist()

@@ -35,7 +35,8 @@ class KeyedTable:
 
     def create(self, spark: SparkSession) -> KeyedTable:
         """Create the empty table unless it exists."""
-        spark.createDataFrame([], self._layout()).write.mode("ignore").partitionBy(*self._split).parquet(self.path)
+        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in self._layout().fields]
+        spark.range(0).select(*columns).write.mode("ignore").partitionBy(*self._split).parquet(self.path)
         return self
 
     @property

@@ -37,8 +37,11 @@ def streaming_candles(messages: DataFrame, watermark: str = WATERMARK) -> DataFr
 
 
 def writer_run(spark: SparkSession, checkpoint: str) -> int:
-    """Start time of the writer that owns this checkpoint, kept beside it and reused on restart."""
-    path = f"{checkpoint.rstrip('/')}-run"
+    """Start time of the writer that owns this checkpoint, kept inside it and reused on restart.
+
+    A new checkpoint counts batches from 0 again, so it must come with a newer run.
+    """
+    path = f"{checkpoint.rstrip('/')}/writer_run"
     now = int(time.time() * 1000)
     spark.range(1).select(F.lit(now).cast("bigint").alias("run")).write.mode("ignore").parquet(path)
     return spark.read.schema("run BIGINT").parquet(path).first().run
@@ -61,7 +64,10 @@ def start_candles(
     """
     # Tables are read with this session: the one behind a micro-batch has adaptive execution off.
     spark = messages.sparkSession
-    tables.create(spark)
+    if refresh:
+        tables.create(spark)
+    else:
+        tables.candles.create(spark)
     run = writer_run(spark, checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
