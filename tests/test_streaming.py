@@ -163,6 +163,14 @@ def test_state_is_dropped_behind_the_watermark(landing):
     assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 1
 
 
+def test_state_width_belongs_to_the_stream_alone(landing, spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    landing.land(("A", "00:00:10", 10, 1))
+    query = landing.run(state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before != "3"
+    assert query.recentProgress[0]["stateOperators"][0]["numShufflePartitions"] == 3
+
+
 def test_batch_and_stream_agree(spark, tmp_path):
     source = ticks(spark, [("A", "2024-01-01 00:00:05", "1", 3, 2), ("A", "2024-01-01 00:00:05", "2", 1, 1), ("B", "2024-01-01 00:01:05", "4", 0, 3)])
     encode_ticks(source).write.parquet(str(tmp_path / "in"))

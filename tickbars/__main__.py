@@ -37,6 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--topic", default=TICK_TOPIC)
     job.add_argument("--starting-offsets", default="latest")
     job.add_argument("--as-of", help="fixed summary time instead of the clock")
+    job.add_argument("--state-partitions", type=int, help="shuffle width of the stream, for its number of symbols")
     job.add_argument("--available-now", action="store_true")
     source = job.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers", help="read the topic from these brokers")
@@ -102,7 +103,14 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "stream":
         tables = MarketTables(args.tables)
         queries = [
-            start_candles(_messages(spark, args), tables, args.checkpoint, args.available_now, as_of=args.as_of)
+            start_candles(
+                _messages(spark, args),
+                tables,
+                args.checkpoint,
+                args.available_now,
+                as_of=args.as_of,
+                state_partitions=args.state_partitions,
+            )
         ]
         if args.rejects:
             checkpoint = f"{args.checkpoint.rstrip('/')}-rejects"

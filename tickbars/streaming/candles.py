@@ -56,11 +56,13 @@ def start_candles(
     as_of: Column | datetime | str | None = None,
     watermark: str = WATERMARK,
     trigger: str = TRIGGER_INTERVAL,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start the job: upsert every changed candle, then refresh the 24h summary.
 
     Update mode emits the whole current candle, never a delta, so the newest row per key is right.
-    Summary bounds follow the clock unless `as_of` is given.
+    Summary bounds follow the clock unless `as_of` is given. `state_partitions` is the shuffle width
+    of the stream alone; it counts at the first start of a checkpoint and stays fixed after that.
     """
     # Tables are read with this session: the one behind a micro-batch has adaptive execution off.
     spark = messages.sparkSession
@@ -90,7 +92,16 @@ def start_candles(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write_batch)
     )
-    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)).start()
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
+    if state_partitions is None:
+        return writer.start()
+    # A query keeps the settings of the moment it starts.
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", state_partitions)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
 
 
 def start_rejects(messages: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
