@@ -17,7 +17,9 @@ def digit_order(*parts: tuple[Column, int]) -> Column:
     """
     order, width = None, 0
     for column, digits in reversed(parts):
-        term = column.cast("decimal(19,0)") * F.lit(Decimal(10) ** width)
+        term = column.cast("decimal(19,0)")
+        if width:
+            term = term * F.lit(Decimal(10) ** width)
         order = term if order is None else term + order
         width += digits
     return order

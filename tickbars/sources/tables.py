@@ -131,6 +131,9 @@ class MarketTables:
         return self
 
     def register_views(self, spark: SparkSession) -> None:
-        """Expose the current rows under the table names, for plain `spark.sql` reports."""
+        """Expose the current rows under the table names, for plain `spark.sql` reports.
+
+        A view knows the files of the moment; call again to see later batches.
+        """
         for table in (self.candles, self.backfill, self.summary):
             table.read(spark).createOrReplaceTempView(table.spec.name)
