@@ -142,7 +142,7 @@ def symbol_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ticks_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = encode_ticks(_ticks(spark, sf_dir))
-    return messages.select(F.col("key").cast("string"), F.col("value").cast("string"), "offset")
+    return messages.select(F.col("key").cast("string"), F.col("value").cast("string"), F.col("offset").alias("seq"))
 
 
 def ticks_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
