@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tickbars.functions import pair_order
 from tickbars.operators.candles import hourly_candles, tick_candles
+from tickbars.schemas import CANDLES_1M
+from tickbars.sources.tables import KeyedTable
 
 OHLC = ["open_price", "high_price", "low_price", "close_price"]
 
@@ -35,6 +37,18 @@ def test_vwap_is_exact_and_rounded_half_up(spark):
     assert rows(got, "vwap") == [(0.000002,)]
 
 
+def test_an_absurd_volume_spoils_only_its_own_candle(spark, tmp_path):
+    huge = 2**63 - 1
+    source = ticks(
+        spark,
+        [("A", "2024-01-01 00:00:05", "1", huge, 1), ("A", "2024-01-01 00:00:06", "1", huge, 2), ("B", "2024-01-01 00:00:05", "1", 1, 3)],
+    )
+    table = KeyedTable(str(tmp_path / "t"), CANDLES_1M).create(spark)
+    table.upsert(tick_candles(source), 1, 0)
+    assert rows(table.read(spark), "symbol") == [("B",)]
+    assert rows(table.rejects(spark), "symbol", "reject_reason") == [("A", "volume is null")]
+
+
 def test_window_is_half_open_and_epoch_aligned(spark):
     got = tick_candles(
         ticks(spark, [("A", "2024-01-01 00:00:59.999999", "1", 1, 1), ("A", "2024-01-01 00:01:00", "2", 1, 2)])

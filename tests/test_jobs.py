@@ -13,7 +13,8 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
     envelopes, payloads = tmp_path / "envelopes", tmp_path / "payloads" / "symbol=AAPL"
     envelopes.mkdir()
     payloads.mkdir(parents=True)
-    trade = {"type": "trade", "data": [{"s": "AAPL", "t": 1704103505000, "p": 101, "v": 3}]}
+    trades = [{"s": "AAPL", "t": 1704103505000, "p": 101, "v": 3}, {"s": "AAPL", "t": 1704103505000, "v": 3}]
+    trade = {"type": "trade", "data": trades}
     (envelopes / "a.json").write_text(json.dumps(trade))
     bars = [
         {"datetime": f"2024-01-01 {h}:00:00", "open": "100", "high": "100", "low": "100", "close": "100", "volume": "5"}
@@ -23,7 +24,8 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
     tables, topic, checkpoint = (str(tmp_path / n) for n in ("tables", "topic", "checkpoint"))
     as_of = "2024-01-01T12:00:00"
 
-    main(["publish", "--envelopes", str(envelopes), "--path", topic, "--checkpoint", checkpoint + "-p", "--available-now"])
+    main(["publish", "--envelopes", str(envelopes), "--path", topic, "--checkpoint", checkpoint + "-p", "--available-now", "--rejects", topic + "-rejects"])
+    assert rows(spark.read.parquet(topic + "-rejects"), "symbol", "reject_reason") == [("AAPL", "missing price")]
     main(["stream", "--path", topic, "--tables", tables, "--checkpoint", checkpoint, "--as-of", as_of, "--available-now", "--rejects", str(tmp_path / "rejects")])
     stored = MarketTables(tables)
     assert rows(stored.summary.read(spark), "symbol", "open_24h", "close_24h", "total_volume") == [("AAPL", 101, 101, 3)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from tickbars.plans import reports
 from tickbars.plans.backfill import load_backfill
@@ -13,7 +14,7 @@ from tickbars.session import get_session
 from tickbars.sources import ticks, vendor
 from tickbars.sources.tables import MarketTables
 from tickbars.streaming.candles import start_candles, start_rejects
-from tickbars.streaming.publish import start_publish
+from tickbars.streaming.publish import start_publish, start_trade_rejects
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -24,6 +25,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--envelopes", required=True)
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--symbols", type=_names, default=list(DEFAULT_SYMBOLS))
+    job.add_argument("--rejects", help="also keep refused trades in this folder")
     job.add_argument("--topic", default=TICK_TOPIC)
     job.add_argument("--available-now", action="store_true")
     target = job.add_mutually_exclusive_group(required=True)
@@ -87,6 +89,13 @@ def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return ticks.landed_messages(spark, args.path) if args.path else ticks.text_messages(spark, args.text)
 
 
+def _await(spark: SparkSession, queries: list[StreamingQuery], available_now: bool) -> None:
+    if not available_now:
+        spark.streams.awaitAnyTermination()
+    for query in queries:
+        query.awaitTermination()
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = _parser()
     args = parser.parse_args(argv)
@@ -97,9 +106,15 @@ def main(argv: list[str] | None = None) -> None:
 
     if args.job == "publish":
         envelopes = ticks.text_messages(spark, args.envelopes)
-        start_publish(
-            envelopes, args.checkpoint, args.servers, args.topic, args.path, args.symbols, args.available_now
-        ).awaitTermination()
+        queries = [
+            start_publish(
+                envelopes, args.checkpoint, args.servers, args.topic, args.path, args.symbols, args.available_now
+            )
+        ]
+        if args.rejects:
+            checkpoint = f"{args.checkpoint.rstrip('/')}-rejects"
+            queries.append(start_trade_rejects(envelopes, args.rejects, checkpoint, args.available_now))
+        _await(spark, queries, args.available_now)
     elif args.job == "stream":
         tables = MarketTables(args.tables)
         queries = [
@@ -115,11 +130,7 @@ def main(argv: list[str] | None = None) -> None:
         if args.rejects:
             checkpoint = f"{args.checkpoint.rstrip('/')}-rejects"
             queries.append(start_rejects(_messages(spark, args), args.rejects, checkpoint, args.available_now))
-        if args.available_now:
-            for query in queries:
-                query.awaitTermination()
-        else:
-            spark.streams.awaitAnyTermination()
+        _await(spark, queries, args.available_now)
     elif args.job == "backfill":
         payloads = vendor.landed_payloads(spark, args.payloads)
         result = load_backfill(spark, payloads, MarketTables(args.tables), args.symbols, args.as_of)

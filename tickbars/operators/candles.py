@@ -14,11 +14,12 @@ def tick_candles(ticks: DataFrame, width: str = CANDLE_WIDTH) -> DataFrame:
 
     Works on a table or on a watermarked stream. Ticks: symbol, event_time TIMESTAMP,
     price DECIMAL(18,6), volume BIGINT, seq BIGINT (order among equal times, may be null).
-    Every aggregate has a fixed-width buffer, so a hot symbol is collapsed map-side by a hash
+    A sum too large for its type is null, which the table rejects: one absurd volume must not stop
+    the stream. Every aggregate has a fixed-width buffer, so a hot symbol is collapsed map-side by a hash
     aggregate and the shuffle carries one row per task, window and symbol.
     """
     price, volume = F.col("price"), F.col("volume")
-    total = F.sum(volume)
+    total = F.try_sum(volume)
     close = F.max_by("price", "arrival")
     arrival = pair_order(F.unix_micros("event_time"), F.coalesce(F.col("seq"), F.lit(0)))
     return (
@@ -31,7 +32,7 @@ def tick_candles(ticks: DataFrame, width: str = CANDLE_WIDTH) -> DataFrame:
             close.alias("close_price"),
             total.alias("volume"),
             F.count(F.lit(1)).cast("int").alias("trade_count"),
-            F.when(total > 0, F.sum(price * volume) / total)
+            F.when(total > 0, F.try_sum(price * volume) / total)
             .otherwise(close)
             .try_cast(PRICE)
             .alias("vwap"),
@@ -60,7 +61,7 @@ def hourly_candles(candles: DataFrame) -> DataFrame:
             F.max("high_price").alias("high_price"),
             F.min("low_price").alias("low_price"),
             F.max_by("close_price", "candle_start").alias("close_price"),
-            F.sum("volume").alias("volume"),
+            F.try_sum("volume").alias("volume"),
         )
         .select(
             "symbol",

@@ -13,7 +13,7 @@ _MICROS_PER_MINUTE = 60_000_000
 def symbol_rollup(hours: DataFrame) -> DataFrame:
     """One row per symbol: first open, extremes, last close, total and per-minute volume, mean close."""
     covered_micros = F.sum(F.unix_micros("candle_end") - F.unix_micros("candle_start"))
-    total = F.sum("volume")
+    total = F.try_sum("volume")
     per_minute = (
         total.cast("decimal(20,0)")
         * F.lit(_MICROS_PER_MINUTE).cast("decimal(8,0)")

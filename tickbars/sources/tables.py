@@ -57,6 +57,8 @@ class KeyedTable:
         key wins. Output files are sized at run time, which also splits a large date over several
         tasks; for a batch of known size, `files` skips that shuffle.
         """
+        if not (0 <= run < 10**13 and 0 <= batch_id < 10**9):
+            raise ValueError("run is in epoch milliseconds and batch_id below a billion")
         spec = self.spec
         checked = check_rows(rows, spec)
         if order_by is not None:

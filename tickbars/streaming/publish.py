@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tickbars.operators.filters import in_universe
-from tickbars.operators.quality import accepted
+from tickbars.operators.quality import accepted, rejected
 from tickbars.schemas import TICK_TOPIC, TRIGGER_INTERVAL
 from tickbars.sources.ticks import encode_ticks
 from tickbars.sources.trades import decode_envelopes
@@ -43,3 +43,16 @@ def start_publish(
     else:
         writer = writer.format("parquet").option("path", path)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER_INTERVAL)).start()
+
+
+def start_trade_rejects(envelopes: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Keep trades that lack a usable field, with the reason, in a Parquet folder."""
+    writer = (
+        rejected(decode_envelopes(envelopes))
+        .writeStream.queryName("trade_rejects")
+        .outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER_INTERVAL)).start()
