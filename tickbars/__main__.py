@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--rejects", help="also keep refused ticks in this folder")
     job.add_argument("--topic", default=TICK_TOPIC)
     job.add_argument("--starting-offsets", default="latest")
+    job.add_argument("--max-per-batch", type=int, help="bound of messages per micro-batch of a topic")
     job.add_argument("--as-of", help="fixed summary time instead of the clock")
     job.add_argument("--state-partitions", type=int, help="shuffle width of the stream, for its number of symbols")
     job.add_argument("--available-now", action="store_true")
@@ -85,7 +86,7 @@ def _report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.servers:
-        return ticks.topic_messages(spark, args.servers, args.topic, args.starting_offsets)
+        return ticks.topic_messages(spark, args.servers, args.topic, args.starting_offsets, args.max_per_batch)
     return ticks.landed_messages(spark, args.path) if args.path else ticks.text_messages(spark, args.text)
 
 

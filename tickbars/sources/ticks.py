@@ -12,17 +12,25 @@ _TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
 def topic_messages(
-    spark: SparkSession, servers: str, topic: str = TICK_TOPIC, starting_offsets: str = "latest"
+    spark: SparkSession,
+    servers: str,
+    topic: str = TICK_TOPIC,
+    starting_offsets: str = "latest",
+    max_per_batch: int | None = None,
 ) -> DataFrame:
-    """Stream of a Kafka topic (needs the spark-sql-kafka package on the cluster)."""
-    return (
+    """Stream of a Kafka topic (needs the spark-sql-kafka package on the cluster).
+
+    `max_per_batch` bounds a micro-batch when the stream has to catch up.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .load()
-        .select("key", "value", "offset")
     )
+    if max_per_batch is not None:
+        reader = reader.option("maxOffsetsPerTrigger", max_per_batch)
+    return reader.load().select("key", "value", "offset")
 
 
 def landed_messages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:

@@ -87,8 +87,7 @@ def start_candles(
 
     writer = (
         streaming_candles(messages, watermark)
-        .writeStream.queryName("candles_1m")
-        .outputMode("update")
+        .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write_batch)
     )
@@ -108,8 +107,7 @@ def start_rejects(messages: DataFrame, path: str, checkpoint: str, available_now
     """Keep refused ticks, with the reason, in a Parquet folder."""
     writer = (
         rejected(checked_ticks(messages))
-        .writeStream.queryName("tick_rejects")
-        .outputMode("append")
+        .writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

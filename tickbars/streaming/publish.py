@@ -34,8 +34,7 @@ def start_publish(
     """
     writer = (
         tick_messages(envelopes, symbols)
-        .writeStream.queryName("publish_ticks")
-        .outputMode("append")
+        .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
     if servers is not None:
@@ -49,8 +48,7 @@ def start_trade_rejects(envelopes: DataFrame, path: str, checkpoint: str, availa
     """Keep trades that lack a usable field, with the reason, in a Parquet folder."""
     writer = (
         rejected(decode_envelopes(envelopes))
-        .writeStream.queryName("trade_rejects")
-        .outputMode("append")
+        .writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
