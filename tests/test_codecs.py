@@ -1,14 +1,16 @@
 import json
 
+import pytest
 from helpers import at, rows, ticks, wall
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tickbars.functions import instant
 from tickbars.operators.quality import accepted, check_ticks, rejected
-from tickbars.sources.ticks import decode_ticks, encode_ticks
+from tickbars.plans.backfill import load_summary
+from tickbars.sources.ticks import decode_ticks, encode_ticks, topic_messages
 from tickbars.sources.trades import decode_envelopes
 from tickbars.sources.vendor import bar_rejects, decode_bars, landed_payloads, payload_rejects
-from tickbars.plans.backfill import load_summary
 
 
 def messages(spark, values):
@@ -161,3 +163,9 @@ def test_payload_files_take_the_symbol_from_the_path(spark, tmp_path):
         (folder / "one.json").write_text(json.dumps({"status": "ok", "values": [bar("2024-01-01 10:00:00")]}, indent=1))
     got = day_bars(landed_payloads(spark, str(tmp_path)))
     assert sorted(rows(got, "symbol", "volume")) == [("A", 12), ("B", 12)]
+
+
+def test_topic_source_asks_for_kafka(spark):
+    """The connector is not installed here; the reader must get as far as looking for it."""
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        topic_messages(spark, "host:9092", max_per_batch=10)
