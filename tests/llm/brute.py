@@ -1,0 +1,49 @@
+"""Plain Python versions of the operators, for small tables."""
+
+import hashlib
+import re
+from collections import Counter
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def documents(path):
+    import pyarrow.parquet as pq
+
+    return pq.read_table(f"{path}/documents.parquet").to_pylist()
+
+
+def covered(items, length):
+    """Per sequence the mask of places covered by a window that starts twice or more in all sequences."""
+    seen = Counter(tuple(s[i : i + length]) if not isinstance(s, bytes) else s[i : i + length] for s in items for i in range(len(s) - length + 1))
+    masks = []
+    for s in items:
+        mask = [False] * len(s)
+        upto = 0
+        for i in range(len(s) - length + 1):
+            w = s[i : i + length] if isinstance(s, bytes) else tuple(s[i : i + length])
+            if seen[w] > 1:
+                for k in range(max(i, upto), i + length):
+                    mask[k] = True
+                upto = i + length
+        masks.append(mask)
+    return masks
+
+
+def suffix_dedup(rows, length=400):
+    texts = [(r["text"] or "").encode() for r in rows]
+    out = []
+    for r, t, m in zip(rows, texts, covered(texts, length)):
+        kept = bytes(b for b, gone in zip(t, m) if not gone)
+        runs = sum(1 for i, gone in enumerate(m) if gone and (i == 0 or not m[i - 1]))
+        out.append((r["doc_id"], len(t), sum(m), runs, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def substring_dedup(rows, length=35):
+    texts = [WORD.findall(r["text"] or "") for r in rows]
+    out = []
+    for r, t, m in zip(rows, texts, covered(texts, length)):
+        kept = " ".join(w for w, gone in zip(t, m) if not gone)
+        out.append((r["doc_id"], len(t), sum(m), hashlib.sha256(kept.encode()).hexdigest()))
+    return out
