@@ -60,10 +60,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
+class Held(dict):
+    """A cache that isn't sent to tasks."""
+
+    def __reduce__(self):
+        return Held, ()
+
+
 class Prefix:
     """Polynomial hashes (mod 2**64) of any span of `letters`, from one pass of prefix sums."""
 
-    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    _powers: Held = Held()
 
     def __init__(self, letters: np.ndarray, which: int = 0):
         n = len(letters)
