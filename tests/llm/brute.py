@@ -47,3 +47,103 @@ def substring_dedup(rows, length=35):
         kept = " ".join(w for w, gone in zip(t, m) if not gone)
         out.append((r["doc_id"], len(t), sum(m), hashlib.sha256(kept.encode()).hexdigest()))
     return out
+
+
+def exact_dedup(rows):
+    groups = {}
+    for r in rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", r["text"] or ""), []).append(r)
+    out = []
+    for content, members in groups.items():
+        keep = min(members, key=lambda r: (-len(r["text"] or ""), r["doc_id"] is None, r["doc_id"] or 0))["doc_id"]
+        sha = hashlib.sha256(content.encode()).hexdigest()
+        out += [(r["doc_id"], keep, len(members), r["doc_id"] == keep, sha) for r in members]
+    return out
+
+
+def fingerprint(text, shingle=3):
+    import xxhash
+
+    words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(nodes, links):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def simhash(rows, distance=3):
+    prints = {r["doc_id"]: fingerprint(r["text"]) for r in rows}
+    distinct = sorted(set(prints.values()))
+    links = [(a, b) for i, a in enumerate(distinct) for b in distinct[:i] if (a ^ b).bit_count() <= distance]
+    roots = components(distinct, links)
+    least = {}
+    for d, f in prints.items():
+        least[roots[f]] = min(d, least.get(roots[f], d))
+    return [(d, f"{f:016x}", least[roots[f]]) for d, f in prints.items()]
+
+
+def targets(sizes):
+    """source -> words to source -> target, resharing in rounds."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    total, stopped = 1.5 * sum(sizes.values()), set()
+    while True:
+        spare = total - sum(2 * sizes[s] for s in stopped)
+        free = [s for s in order if s not in stopped]
+        level = spare / sum(weight[s] for s in free) if free else 0
+        above = [s for s in free if level * weight[s] > 2 * sizes[s]]
+        if not above:
+            return {s: 2.0 * sizes[s] if s in stopped else level * weight[s] for s in order}
+        stopped.update(above)
+
+
+def mixing(rows):
+    size = [len(WORD.findall(r["text"] or "")) for r in rows]
+    sizes = {}
+    for r, n in zip(rows, size):
+        sizes[r["source"]] = sizes.get(r["source"], 0) + n
+    goals = targets(sizes)
+    key = [hashlib.md5(("" if r["doc_id"] is None else str(r["doc_id"])).encode()).hexdigest()[:12] for r in rows]
+    before, out = dict.fromkeys(sizes, 0), []
+    for k in sorted(range(len(rows)), key=lambda k: (key[k], rows[k]["doc_id"] is not None, rows[k]["doc_id"] or 0, size[k])):
+        s = rows[k]["source"]
+        budget, whole = int(goals[s] + 0.5), sizes[s]
+        taken = (budget // whole) * size[k] + min(max(budget % whole - before[s], 0), size[k]) if whole else 0
+        before[s] += size[k]
+        out.append((rows[k]["doc_id"], size[k], whole, round(goals[s], 6), taken))
+    return out
+
+
+def base_measures(text):
+    words = WORD.findall(text or "")
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    count = Counter(windows)
+    again = set()
+    for i, w in enumerate(windows):
+        if count[w] > 1:
+            again.update(range(i, i + 5))
+    lines = [line for line in (text or "").split("\n") if WORD.search(line)]
+    n = len(words)
+    return (
+        n,
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text or "")),
+        len(lines) - len(set(lines)),
+        len(again),
+        n < 10 or 100 * len(again) > 20 * n,
+    )

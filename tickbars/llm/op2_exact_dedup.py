@@ -48,29 +48,32 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256, sa
         return parts.groupBy(*keys).agg(F.min("best").alias("best"), F.sum("n").alias("n"))
 
     salted = combine(texts, "digest", "salt", "content")
+    winners = combine(salted, "digest", "content")
     winners = stored(
-        combine(salted, "digest", "content").select("digest", F.col("best.id").alias("id"), F.col("best.row").alias("row"), "n"), "exact-dedup"
+        winners.select(
+            F.col("digest").alias("_dedup_digest"), F.col("best.id").alias("_dedup_keep_id"), F.col("best.row").alias("_dedup_first"), F.col("n").alias("_dedup_size")
+        ),
+        "exact-dedup",
     )
     members = rows.withColumn("_dedup_content", content).withColumn("_dedup_digest", digest(F.col("_dedup_content")))
-    clashes = winners.groupBy("digest").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
+    clashes = winners.groupBy("_dedup_digest").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1").select("_dedup_digest")
     if clashes.isEmpty():
-        found = members.join(winners, F.col("_dedup_digest") == F.col("digest"))
+        found = members.join(winners, "_dedup_digest")
     else:
         # A digest of several contents: there the winners' contents decide, too.
-        named = members.select(F.col("_dedup_row").alias("row"), F.col("_dedup_content").alias("content"))
-        contents = winners.join(clashes.select("digest"), "digest", "left_semi").join(named, "row")
-        alone = winners.join(clashes, "digest", "left_anti")
-        found = members.join(alone, F.col("_dedup_digest") == F.col("digest")).unionByName(
-            members.join(contents, (F.col("_dedup_digest") == F.col("digest")) & (F.col("_dedup_content") == F.col("content"))).drop("content")
-        )
-    return found.withColumns(
-        {"_dedup_keep_id": F.col("id"), "_dedup_size": F.col("n"), "_dedup_kept": F.col("_dedup_row") == F.col("row")}
-    ).select(*[docs[c] for c in docs.columns], "_dedup_keep_id", "_dedup_size", "_dedup_kept", "_dedup_digest")
+        clashes = stored(clashes, "exact-dedup-clashes")
+        named = members.select(F.col("_dedup_row").alias("_dedup_first"), "_dedup_content")
+        contents = winners.join(clashes, "_dedup_digest", "left_semi").join(named, "_dedup_first")
+        alone = winners.join(clashes, "_dedup_digest", "left_anti")
+        found = members.join(alone, "_dedup_digest").unionByName(members.join(contents, ["_dedup_digest", "_dedup_content"]))
+    return found.withColumn("_dedup_kept", F.col("_dedup_row") == F.col("_dedup_first")).select(
+        *[F.col(f"`{c}`") for c in docs.columns], "_dedup_keep_id", "_dedup_size", "_dedup_kept", "_dedup_digest"
+    )
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each group of equal texts stays."""
-    return exact_dedup(docs).filter("_dedup_kept").select(*docs.columns)
+    return exact_dedup(docs).filter("_dedup_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,7 +91,8 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     roots = components(links(classes.select("fingerprint"), distance, blocks), "simhash")
     rooted = classes.join(roots, F.col("fingerprint") == F.col("node"), "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = stored(rooted, "simhash-roots")
+    least = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-components")
     named = rooted.join(least, "root").select("fingerprint", "root", "component_id")
     return prints.join(named, "fingerprint").select("_near_row", "doc_id", "fingerprint", "root", "component_id")
 
@@ -101,7 +102,8 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.withColumn("_near_row", F.monotonically_increasing_id())
     groups = near_groups(rows)
     first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_near_row")).alias("first"))
-    return rows.join(first.select("first._near_row"), "_near_row", "left_semi").select(*docs.columns)
+    kept = stored(first.select("first._near_row"), "simhash-kept")
+    return rows.join(kept, "_near_row", "left_semi").select(*docs.columns)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

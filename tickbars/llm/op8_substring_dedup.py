@@ -173,7 +173,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     copies, rims = repeats.classes_of(rows, symbols, "substring-dedup")
     spans = rims.groupBy("row_key").agg(F.collect_list(F.struct("lo", "hi", "open")).alias("spans"))
     windows = repeats.stored(repeats.window_names(rows.join(spans, "row_key"), words, LENGTH), "substring-dedup-windows")
-    ranges = repeats.ranges_of(copies, repeats.repeated_names(windows))
+    ranges = repeats.ranges_of(copies, repeats.repeated_names(windows, "substring-dedup"))
     return cut(rows.join(ranges, "row_key", "left").select("doc_id", "text", "ranges"))
 
 

@@ -84,20 +84,21 @@ def classes_of(rows: DataFrame, parse: Parse, name: str) -> tuple[DataFrame, Dat
     The second also has `around`, `open` (no equal segment was found) and `classes`, the size of its group.
     """
     found = stored(segments(rows, parse), f"{name}-segments")
-    shared = found.groupBy("around").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("around")
+    # Counts are stored before they are joined back: only then can Spark split a hot key of the other side.
+    shared = stored(found.groupBy("around").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("around"), f"{name}-counts")
     near = stored(found.join(shared, "around", "left_semi"), f"{name}-shared")
     classes = near.groupBy("around", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "lo", "hi")).alias("first"))
     classes = stored(classes, f"{name}-classes")
     groups = classes.groupBy("around").agg(F.count(F.lit(1)).alias("classes"), F.count_if(F.col("n") == 1).alias("open_classes"))
-    groups = groups.filter("classes > 1 and open_classes > 0").select("around", "classes")
+    groups = stored(groups.filter("classes > 1 and open_classes > 0").select("around", "classes"), f"{name}-groups")
     copies = near.join(classes.filter("n > 1").select("around", "whole"), ["around", "whole"], "left_semi").select("row_key", "lo", "hi")
     rims = classes.join(groups, "around").select("around", "classes", "first.*", (F.col("n") == 1).alias("open"))
     return copies, rims
 
 
-def repeated_names(windows: DataFrame) -> DataFrame:
+def repeated_names(windows: DataFrame, name: str) -> DataFrame:
     """(row_key, lo, hi) of the open windows whose name another window has."""
-    twice = windows.groupBy("name", "check").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name", "check")
+    twice = stored(windows.groupBy("name", "check").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name", "check"), f"{name}-names")
     return windows.filter("open").join(twice, ["name", "check"], "left_semi").select("row_key", F.col("start").alias("lo"), F.col("start").alias("hi"))
 
 
