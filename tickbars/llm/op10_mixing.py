@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 _KEY_DIGITS = 12
 
 
@@ -51,13 +51,13 @@ def mix(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """The rows with _mix_words, _mix_size, _mix_target and _mix_taken."""
     words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     key = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, _KEY_DIGITS)
-    rows = docs.withColumns({"_mix_words": words, "_mix_source": F.col("source"), "_mix_key": key})
+    rows = docs.withColumns({"_mix_words": words, "_mix_source": F.col("source"), "_mix_key": key, "_mix_tie": F.xxhash64("text")})
     sources = targets(rows.groupBy("_mix_source").agg(F.sum("_mix_words").alias("_mix_size"), F.count(F.lit(1)).alias("_mix_rows")))
     same_source = F.col("_mix_source").eqNullSafe(F.col("_mix_of"))
     rows = rows.join(sources.withColumnRenamed("_mix_source", "_mix_of"), same_source).drop("_mix_of")
     place = F.conv("_mix_key", 16, 10).cast("double") / float(16**_KEY_DIGITS)
     rows = rows.withColumn("_mix_range", F.floor(place * F.ceil(F.col("_mix_rows") / range_rows)))
-    in_range = Window.partitionBy("_mix_source", "_mix_range").orderBy("_mix_key", "doc_id", "_mix_words", F.xxhash64("text"))
+    in_range = Window.partitionBy("_mix_source", "_mix_range").orderBy("_mix_key", "doc_id", "_mix_words", "_mix_tie")
     rows = rows.withColumn("_mix_within", F.sum("_mix_words").over(in_range.rowsBetween(Window.unboundedPreceding, -1)))
     ranges = rows.groupBy("_mix_source", "_mix_range").agg(F.sum("_mix_words").alias("words"))
     earlier = Window.partitionBy("_mix_source").orderBy("_mix_range").rowsBetween(Window.unboundedPreceding, -1)
