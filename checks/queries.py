@@ -75,9 +75,8 @@ def _backfill(spark: SparkSession, sf_dir: str, since: datetime | None = None) -
 
 
 def _last_day(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Live and backfill candles; only ticks that can matter for the trailing 24h are scanned."""
-    since = AS_OF - DAY
-    return _live(spark, sf_dir, since), _backfill(spark, sf_dir, since)
+    """All live and backfill candles; the window is cut by the operators alone."""
+    return _live(spark, sf_dir), _backfill(spark, sf_dir)
 
 
 # Candles, coverage, summary, reports
@@ -187,9 +186,36 @@ def trade_envelope_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.concat(symbol, millis.cast("string"), F.lit(',"p":'), price, F.lit(',"v":'), "volume", F.lit(".7}"))
     second = F.concat(symbol, (millis + 1).cast("string"), F.lit(',"p":"'), price, F.lit('"}'))
     envelope = F.concat(F.lit('{"type":"trade","data":['), first, F.lit(","), second, F.lit("]}"))
-    values = F.explode(F.array(envelope, F.lit('{"type":"ping"}')))
-    messages = _ticks(spark, sf_dir).select(values.alias("value"))
-    return to_ntz(quality.accepted(decode_envelopes(messages)))
+    # The ping carries data, which must not become a trade.
+    ping = F.concat(F.lit('{"type":"ping","data":['), first, F.lit("]}"))
+    messages = _ticks(spark, sf_dir).select(F.explode(F.array(envelope, ping)).alias("value"))
+    return to_ntz(quality.accepted(decode_envelopes(messages))).drop("seq")
+
+
+def envelope_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event one envelope, damaged by its volume: no JSON, data of another kind, a trade without price, or a good one."""
+    k = F.col("volume") % 4
+    symbol = F.concat(F.lit('{"s":"'), "symbol", F.lit('","t":'), F.unix_millis("event_time").cast("string"))
+    value = (
+        F.when(k == 0, F.concat(F.lit("garbage "), "symbol"))
+        .when(k == 1, F.lit('{"type":"trade","data":"oops"}'))
+        .when(k == 2, F.concat(F.lit('{"type":"trade","data":['), symbol, F.lit(',"v":1}]}')))
+        .otherwise(F.concat(F.lit('{"type":"trade","data":['), symbol, F.lit(',"p":1,"v":1}]}')))
+    )
+    ticks = decode_envelopes(_ticks(spark, sf_dir).select(value.alias("value")))
+    return ticks.groupBy("symbol", F.coalesce(quality.REASON, F.lit("good")).alias("reason")).agg(F.count(F.lit(1)).alias("ticks"))
+
+
+def compacted_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candles without a close where the volume is even, stored twice over and compacted: every refused row is still there."""
+    bars = _bars(spark, sf_dir).withColumn("close_price", F.when(F.col("volume") % 2 == 1, F.col("close_price")))
+    table = _tables(spark, "compacted_rejects").backfill.create(spark)
+    table.upsert(bars.withColumn("position", F.lit(1)), run=1, batch_id=0, order_by=F.col("position"))
+    table.upsert(bars, run=2, batch_id=0)
+    target = table.compact(spark, f"{table.path}-compacted")
+    kept = target.read(spark).select("symbol", F.lit("good").alias("reason"))
+    refused = target.rejects(spark).select("symbol", F.col(quality.REASON).alias("reason"))
+    return kept.unionByName(refused).groupBy("symbol", "reason").agg(F.count(F.lit(1)).alias("bars"))
 
 
 def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,8 +248,7 @@ def backfill_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def backfill_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = _payloads(spark, sf_dir)
-    whole = vendor.payload_rejects(payloads).withColumn("datetime", F.lit(None).cast("string"))
-    return whole.unionByName(vendor.bar_rejects(payloads))
+    return vendor.backfill_rejects(vendor.all_bars(payloads)).drop("position")
 
 
 def backfill_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -400,6 +425,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ticks_decode": ticks_decode,
     "tick_rejects": tick_rejects,
     "trade_envelope_ticks": trade_envelope_ticks,
+    "envelope_rejects": envelope_rejects,
+    "compacted_rejects": compacted_rejects,
     "backfill_decode": backfill_decode,
     "backfill_rejects": backfill_rejects,
     "backfill_load_summary": backfill_load_summary,

@@ -101,7 +101,14 @@ def test_envelopes(spark):
         ("A", wall("2024-01-01 00:00:05.124"), 2.5, -12, "finnhub"),
         ("B", wall("2024-01-01 00:00:05.125"), 3, 0, "finnhub"),
     ]
-    assert rows(rejected(decoded), "symbol", "reject_reason") == [("C", "missing price"), ("D", "missing volume")]
+    assert rows(rejected(decoded), "symbol", "reject_reason") == [(None, "undecodable"), ("C", "missing price"), ("D", "missing volume")]
+    assert rows(accepted(decoded), "seq") == [(4_000_000,), (4_000_001,), (4_000_002,)]
+
+
+def test_data_of_another_kind_is_refused(spark):
+    values = ['{"type":"trade","data":"oops"}', '{"type":"trade","data":null}', '{"type":"trade","data":[]}', "null", None]
+    decoded = decode_envelopes(messages(spark, values))
+    assert sorted(rows(decoded, "reject_reason")) == [("undecodable",), ("undecodable",), ("unreadable data",)]
 
 
 def bar(start, volume="12.7", **changes):

@@ -21,6 +21,10 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
         for h in ("09", "10")
     ]
     (payloads / "a.json").write_text(json.dumps({"status": "ok", "values": bars}))
+    (payloads / "b.json").write_text(json.dumps({"status": "error", "values": bars}))
+    other = tmp_path / "payloads" / "symbol=OTHER"
+    other.mkdir()
+    (other / "a.json").write_text(json.dumps({"status": "ok", "values": bars}))
     tables, topic, checkpoint = (str(tmp_path / n) for n in ("tables", "topic", "checkpoint"))
     as_of = "2024-01-01T12:00:00"
 
@@ -32,6 +36,10 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
 
     main(["backfill", "--payloads", str(payloads.parent), "--tables", tables, "--as-of", as_of])
     assert "AAPL" in capsys.readouterr().out
+    counts = spark.read.parquet(f"{tables}/backfill_runs/*/counts")
+    assert {r.symbol: r.loaded_rows for r in counts.collect()} == {"AAPL": 2, "MSFT": 0, "TSLA": 0, "NVDA": 0, "AMZN": 0, None: 2}
+    assert rows(spark.read.parquet(f"{tables}/backfill_runs/*/rejects"), "symbol", "reject_reason") == [("AAPL", "status error")]
+    assert rows(stored.backfill.read(spark).groupBy("symbol").count()) == [("AAPL", 2)]
     # 10:05 is live, so only the 09:00 bar fills in.
     assert rows(stored.summary.read(spark), "symbol", "open_24h", "close_24h", "total_volume") == [("AAPL", 100, 101, 8)]
 

@@ -1,5 +1,6 @@
 import json
 import os
+from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
@@ -33,7 +34,7 @@ class Landing:
         path = self.files / f"{self.count:03d}.json"
         path.write_text("\n".join(lines))
         # The source takes files by modification time.
-        os.utime(path, (1_700_000_000 + self.count,) * 2)
+        os.utime(path, (1_704_200_000 + self.count,) * 2)
         self.count += 1
 
     def run(self, files_per_batch=None, **options):
@@ -155,6 +156,21 @@ def test_future_time_does_not_close_the_stream(landing, spark):
     assert [r.reject_reason for r in spark.read.parquet(out).select("reject_reason").collect()] == ["event_time out of range"]
 
 
+def test_every_tick_is_either_counted_or_refused(landing, spark):
+    """The tolerance counts from the file's time, so both queries draw the line at one place, whenever they run."""
+    start = datetime.fromtimestamp(1_704_200_000, timezone.utc)
+    edges = {name: (start + timedelta(minutes=10, seconds=s)).isoformat() for name, s in (("at", 0), ("past", 1))}
+    lines = [json.dumps({"symbol": name, "event_time": t, "price": 1, "volume": 1}) for name, t in edges.items()]
+    path = landing.files / "000.json"
+    path.write_text("\n".join(lines))
+    os.utime(path, (1_704_200_000,) * 2)
+    landing.run()
+    out = str(landing.root / "rejects")
+    start_rejects(text_messages(spark, str(landing.files)), out, str(landing.root / "c2"), available_now=True).awaitTermination()
+    assert [r.symbol for r in landing.tables.candles.read(spark).collect()] == ["at"]
+    assert [r.symbol for r in spark.read.parquet(out).collect()] == ["past"]
+
+
 def test_state_is_dropped_behind_the_watermark(landing):
     landing.land(("A", "00:00:10", 10, 1), ("B", "00:00:20", 5, 1))
     landing.run()

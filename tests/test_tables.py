@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from helpers import at, candles, rows, wall
 from pyspark.sql import functions as F
@@ -60,6 +62,28 @@ def test_last_duplicate_wins(spark, tmp_path):
     assert rows(table.rejects(spark), "volume", "reject_reason") == [(3, "open_price is null")]
 
 
+def test_refused_rows_are_all_kept(spark, tmp_path):
+    table = KeyedTable(str(tmp_path / "b"), CANDLES_1H_BACKFILL).create(spark)
+    bad = one(spark).withColumn("symbol", F.lit(None).cast("string"))
+    several = bad.union(bad).union(bad).withColumn("position", F.lit(1))
+    table.upsert(several, 1, 0, order_by=F.col("position"))
+    assert table.rejects(spark).count() == 3
+    target = table.compact(spark, str(tmp_path / "new"))
+    assert rows(target.rejects(spark), "reject_reason") == [("symbol is null",)] * 3
+
+
+def test_two_writers_at_once(spark, tmp_path):
+    table = KeyedTable(str(tmp_path / "c"), CANDLES_1M).create(spark)
+
+    def write(run):
+        for batch in range(15):
+            table.upsert(one(spark, symbol=f"S{run}-{batch}"), run, batch)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(write, (1, 2)))
+    assert table.read(spark).count() == 30
+
+
 def test_newer_summary_wins_whatever_the_run(spark, tmp_path):
     table = KeyedTable(str(tmp_path / "s"), PAIR_ANALYSIS_24H).create(spark)
     names = PAIR_ANALYSIS_24H.columns.fieldNames()

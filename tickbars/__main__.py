@@ -13,7 +13,7 @@ from tickbars.schemas import DEFAULT_SYMBOLS, TICK_TOPIC
 from tickbars.session import get_session
 from tickbars.sources import ticks, vendor
 from tickbars.sources.tables import MarketTables
-from tickbars.streaming.candles import start_candles, start_rejects
+from tickbars.streaming.candles import FUTURE_TOLERANCE, start_candles, start_rejects
 from tickbars.streaming.publish import start_publish, start_trade_rejects
 
 
@@ -24,7 +24,7 @@ def _parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("publish", help="trade envelopes (JSON lines landing in a folder) to tick messages")
     job.add_argument("--envelopes", required=True)
     job.add_argument("--checkpoint", required=True)
-    job.add_argument("--symbols", type=_names, default=list(DEFAULT_SYMBOLS))
+    job.add_argument("--symbols", type=_names, default=list(DEFAULT_SYMBOLS), help="trades of other symbols are left out")
     job.add_argument("--rejects", help="also keep refused trades in this folder")
     job.add_argument("--topic", default=TICK_TOPIC)
     job.add_argument("--available-now", action="store_true")
@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--starting-offsets", default="latest")
     job.add_argument("--max-per-batch", type=int, help="bound of messages per micro-batch of a topic")
     job.add_argument("--as-of", help="fixed summary time instead of the clock")
+    job.add_argument("--tolerance", default=FUTURE_TOLERANCE, help="how far a tick's time may be ahead of its arrival")
     job.add_argument("--state-partitions", type=int, help="shuffle width of the stream, for its number of symbols")
     job.add_argument("--available-now", action="store_true")
     source = job.add_mutually_exclusive_group(required=True)
@@ -126,18 +127,19 @@ def main(argv: list[str] | None = None) -> None:
                 args.available_now,
                 as_of=args.as_of,
                 state_partitions=args.state_partitions,
+                tolerance=args.tolerance,
             )
         ]
         if args.rejects:
             checkpoint = f"{args.checkpoint.rstrip('/')}-rejects"
-            queries.append(start_rejects(_messages(spark, args), args.rejects, checkpoint, args.available_now))
+            queries.append(start_rejects(_messages(spark, args), args.rejects, checkpoint, args.available_now, args.tolerance))
         _await(spark, queries, args.available_now)
     elif args.job == "backfill":
         payloads = vendor.landed_payloads(spark, args.payloads)
         result = load_backfill(spark, payloads, MarketTables(args.tables), args.symbols, args.as_of)
+        print(f"counts and rejects are stored below {args.tables}/backfill_runs; the first of them:")
         result.counts.orderBy("symbol").show(truncate=False)
-        result.rejected_payloads.show(truncate=False)
-        result.rejected_bars.show(truncate=False)
+        result.rejects.show(truncate=False)
     elif args.job == "report":
         rows = _report(spark, args)
         rows.write.parquet(args.out) if args.out else rows.show(truncate=False)

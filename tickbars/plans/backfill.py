@@ -11,10 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars.functions import instant, lookback_start
+from tickbars.operators.filters import in_universe
 from tickbars.plans.summary import refresh_summary
 from tickbars.schemas import LOOKBACK_HOURS
 from tickbars.sources.tables import MarketTables
-from tickbars.sources.vendor import bar_rejects, decode_bars, payload_rejects
+from tickbars.sources.vendor import all_bars, backfill_rejects, good_bars
 
 
 def load_summary(bars: DataFrame, universe: DataFrame | Iterable[str]) -> DataFrame:
@@ -37,11 +38,10 @@ def load_summary(bars: DataFrame, universe: DataFrame | Iterable[str]) -> DataFr
 
 @dataclass(frozen=True)
 class BackfillResult:
-    """What a load did, as lazy DataFrames over the payloads."""
+    """What a load did, read from where it is stored: rows per symbol, and refused payloads and bars."""
 
     counts: DataFrame
-    rejected_payloads: DataFrame
-    rejected_bars: DataFrame
+    rejects: DataFrame
 
 
 def load_backfill(
@@ -55,13 +55,21 @@ def load_backfill(
 ) -> BackfillResult:
     """Bars of the trailing window -> `candles_1h_backfill` -> refreshed summary.
 
-    A payload that failed is reported and the others are loaded. Bars of one symbol and start
-    replace each other in payload order.
+    Only configured symbols are loaded. A payload that failed is reported and the others are loaded. Bars of one
+    symbol and start replace each other in payload order. Payloads are decoded once; counts and rejects are stored
+    below `backfill_runs/run=<run>` next to the tables.
     """
     end = instant(datetime.now(timezone.utc) if as_of is None else as_of)
     run = run or int(time.time() * 1000)
     tables.create(spark)
-    bars = decode_bars(payloads, lookback_start(end, hours), end)
-    tables.backfill.upsert(bars, run, 0, order_by=F.col("position"))
+    outcome = f"{tables.root}/backfill_runs/run={run}"
+    bars = all_bars(in_universe(payloads, universe)).persist()
+    try:
+        good = good_bars(bars, lookback_start(end, hours), end)
+        tables.backfill.upsert(good, run, 0, order_by=F.col("position"))
+        load_summary(good, universe).write.mode("overwrite").parquet(f"{outcome}/counts")
+        backfill_rejects(bars).write.mode("overwrite").parquet(f"{outcome}/rejects")
+    finally:
+        bars.unpersist()
     refresh_summary(spark, tables, run, 0, end)
-    return BackfillResult(load_summary(bars, universe), payload_rejects(payloads), bar_rejects(payloads))
+    return BackfillResult(spark.read.parquet(f"{outcome}/counts"), spark.read.parquet(f"{outcome}/rejects"))

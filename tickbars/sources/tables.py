@@ -3,10 +3,11 @@
 Plain Parquet has no MERGE, so an upsert appends the new rows and the reader keeps the newest version of
 each key. A micro-batch therefore never rewrites or deletes data, a task or driver lost in the middle
 leaves nothing half-replaced, and a batch replayed after a failure appends the same rows again, which
-changes nothing. Time tables are split by `candle_date` only: listing a year is listing 365 folders.
+changes nothing. Each writer has a folder of its own, `run=<run>`, in which it alone commits, so the stream and a
+backfill can write to one table at once. Below it time tables are split by `candle_date` only.
 
-Rows that break a table rule are stored in the same write with a `reject_reason`. Readers skip them, so
-one bad row neither fails the batch nor replaces a good row, and none is lost.
+Rows that break a table rule are stored in the same write with a `reject_reason`, each by itself. Readers skip them, so
+one bad row neither fails the batch nor replaces a good row; compacting copies them.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from tickbars.schemas import CANDLES_1H_BACKFILL, CANDLES_1M, PAIR_ANALYSIS_24H,
 
 _VERSION = [
     T.StructField(REASON, T.StringType()),
-    T.StructField("run", T.LongType()),
     T.StructField("batch_id", T.LongType()),
 ]
 
@@ -36,7 +36,7 @@ class KeyedTable:
     def create(self, spark: SparkSession) -> KeyedTable:
         """Create the empty table unless it exists."""
         columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in self._layout().fields]
-        spark.range(0).select(*columns).write.mode("ignore").partitionBy(*self._split).parquet(self.path)
+        spark.range(0).select(*columns).write.mode("ignore").partitionBy("run", *self._split).parquet(self.path)
         return self
 
     @property
@@ -44,7 +44,7 @@ class KeyedTable:
         return [] if self.spec.date_of is None else ["candle_date"]
 
     def _layout(self) -> T.StructType:
-        split = [T.StructField(name, T.DateType()) for name in self._split]
+        split = [T.StructField("run", T.LongType()), *(T.StructField(name, T.DateType()) for name in self._split)]
         return T.StructType([*self.spec.columns.fields, *_VERSION, *split])
 
     def upsert(
@@ -53,20 +53,24 @@ class KeyedTable:
         """Insert the rows, replacing the stored row of an equal key.
 
         `run` is the start time of the writer (> 0), `batch_id` counts its writes.
-        Rows must be unique by key unless `order_by` (never null) is given; then the last good row per
-        key wins. Output files are sized at run time, which also splits a large date over several
+        Two writers of a table need different runs. Rows must be unique by key unless `order_by` (never null) is
+        given; then the last good row per key wins, and refused rows are all kept. Output files are sized at run time, which also splits a large date over several
         tasks; for a batch of known size, `files` skips that shuffle.
         """
         if not (0 <= run < 10**13 and 0 <= batch_id < 10**9):
             raise ValueError("run is in epoch milliseconds and batch_id below a billion")
-        spec = self.spec
-        checked = check_rows(rows, spec)
+        checked = check_rows(rows, self.spec)
         if order_by is not None:
-            checked = latest_by_key(checked, [*spec.key, REASON], order_by)
+            # A refused row is its own key, so it neither meets nor hides another.
+            each = F.when(F.col(REASON).isNotNull(), F.monotonically_increasing_id())
+            checked = latest_by_key(checked.withColumn("refused_row", each), [*self.spec.key, REASON, "refused_row"], order_by)
+        self._append(checked, run, batch_id, files)
+
+    def _append(self, checked: DataFrame, run: int, batch_id: int, files: int | None = None) -> None:
+        spec = self.spec
         stored = (
             checked.select(*spec.columns.fieldNames(), REASON)
             .withColumn("updated_at", F.coalesce("updated_at", F.current_timestamp()))
-            .withColumn("run", F.lit(run).cast("bigint"))
             .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         )
         if self._split:
@@ -74,7 +78,7 @@ class KeyedTable:
         stored = stored.hint("rebalance", *self._split) if files is None else stored.coalesce(files)
         # Sorted files let row-group statistics skip other symbols and times.
         stored = stored.sortWithinPartitions(*self._split, *spec.key)
-        stored.write.mode("append").partitionBy(*self._split).parquet(self.path)
+        stored.write.mode("append").partitionBy(*self._split).parquet(f"{self.path}/run={run}")
 
     def _stored(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(self._layout()).parquet(self.path)
@@ -100,12 +104,13 @@ class KeyedTable:
         return rows.select(*self.spec.columns.fieldNames())
 
     def compact(self, spark: SparkSession, target_path: str) -> KeyedTable:
-        """Write the current rows as the base of a new table, for the writers to go on with.
+        """Write the current rows, and all refused ones, as the base of a new table, for the writers to go on with.
 
         The base is run 0, so whatever is written to the new table later wins over it.
         """
         target = KeyedTable(target_path, self.spec).create(spark)
-        target.upsert(self.read(spark), run=0, batch_id=0)
+        current = self.read(spark).withColumn(REASON, F.lit(None).cast("string"))
+        target._append(current.unionByName(self.rejects(spark).select(*current.columns)), run=0, batch_id=0)
         return target
 
 

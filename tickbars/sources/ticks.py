@@ -10,6 +10,9 @@ from tickbars.schemas import LIVE_SOURCE, MESSAGE, PRICE, TICK_JSON, TICK_TOPIC
 # ISO-8601 in UTC with microseconds and a numeric offset.
 _TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
+# When a message arrived is a fact of the message, the same for every query that reads it.
+_FILE_TIME = "_metadata.file_modification_time AS arrived"
+
 
 def topic_messages(
     spark: SparkSession,
@@ -30,7 +33,7 @@ def topic_messages(
     )
     if max_per_batch is not None:
         reader = reader.option("maxOffsetsPerTrigger", max_per_batch)
-    return reader.load().select("key", "value", "offset")
+    return reader.load().select("key", "value", "offset", F.col("timestamp").alias("arrived"))
 
 
 def landed_messages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -38,7 +41,7 @@ def landed_messages(spark: SparkSession, path: str, files_per_batch: int | None
     reader = spark.readStream.schema(MESSAGE)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.parquet(path).selectExpr("*", _FILE_TIME)
 
 
 def text_messages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -46,7 +49,7 @@ def text_messages(spark: SparkSession, path: str, files_per_batch: int | None =
     reader = spark.readStream
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path)
+    return reader.text(path).selectExpr("*", _FILE_TIME)
 
 
 def encode_ticks(ticks: DataFrame) -> DataFrame:
@@ -70,7 +73,8 @@ def decode_ticks(messages: DataFrame) -> DataFrame:
     the optimizer would write out the JSON parse once per field that the filter looks at.
     """
     offset = F.col("offset").cast("bigint") if "offset" in messages.columns else F.lit(None).cast("bigint")
-    parsed = messages.select(F.from_json(F.col("value").cast("string"), TICK_JSON).alias("tick"), offset.alias("seq"))
+    arrived = ["arrived"] if "arrived" in messages.columns else []
+    parsed = messages.select(F.from_json(F.col("value").cast("string"), TICK_JSON).alias("tick"), offset.alias("seq"), *arrived)
     fields = F.struct(
         "tick.symbol",
         "tick.event_time",
@@ -78,4 +82,4 @@ def decode_ticks(messages: DataFrame) -> DataFrame:
         "tick.volume",
         F.coalesce("tick.source", F.lit(LIVE_SOURCE)).alias("source"),
     )
-    return parsed.select(F.inline(F.array(fields)), "seq")
+    return parsed.select(F.inline(F.array(fields)), "seq", *arrived)

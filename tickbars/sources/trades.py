@@ -5,20 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickbars.operators.quality import check_ticks
+from tickbars.operators.quality import REASON, check_ticks
 from tickbars.schemas import LIVE_SOURCE, PRICE, TRADE_ENVELOPE
 
+#: More trades than an envelope holds, so that offset and place make one number.
+ENVELOPE_TRADES = 1_000_000
+
 
 def decode_envelopes(messages: DataFrame) -> DataFrame:
     """One tick per trade, with `reject_reason` for trades that lack a usable field.
 
-    Envelopes of any other type (pings, errors) and envelopes without data give no ticks. The time
-    is in epoch milliseconds, the volume is truncated to whole units and is 0 when missing.
+    Envelopes of any other type (pings, errors) and envelopes without data give no ticks. Text that is no envelope,
+    and trades whose data cannot be read, give one refused row. The time is in epoch milliseconds, the volume is
+    truncated to whole units and is 0 when missing. `seq` orders trades of one time: by the message's offset, if it
+    has one, and the place in the envelope.
     """
-    envelope = F.from_json(F.col("value").cast("string"), TRADE_ENVELOPE)
+    text = F.col("value").cast("string")
+    envelope = F.from_json(text, TRADE_ENVELOPE)
+    offset = F.col("offset") if "offset" in messages.columns else F.lit(None)
+    kind, data = F.col("envelope.type"), F.col("envelope.data")
+    unreadable = (
+        F.when(kind.isNull() & data.isNull(), F.lit("undecodable"))
+        # Only here is the text looked at again: the data is missing or of another kind.
+        .when((kind == "trade") & data.isNull() & F.get_json_object("text", "$.data").isNotNull(), F.lit("unreadable data"))
+    )
+    parsed = messages.select(envelope.alias("envelope"), text.alias("text"), F.coalesce(offset.cast("bigint"), F.lit(0)).alias("offset"))
     # The type is tested inside the generator, so that the message is parsed once.
-    trades = messages.select(envelope.alias("envelope")).select(
-        F.explode(F.when(F.col("envelope.type") == "trade", F.col("envelope.data"))).alias("trade")
+    nothing = F.array(F.lit(None).cast(TRADE_ENVELOPE["data"].dataType.elementType))
+    trades = parsed.select("envelope", "offset", unreadable.alias("unreadable")).select(
+        "offset", "unreadable", F.posexplode(F.when(F.col("unreadable").isNotNull(), nothing).when(kind == "trade", data)).alias("place", "trade")
     )
     volume = F.coalesce(F.col("trade.v"), F.lit("0")).try_cast("double").try_cast("bigint")
     fields = F.struct(
@@ -27,6 +42,8 @@ def decode_envelopes(messages: DataFrame) -> DataFrame:
         F.col("trade.p").try_cast("double").try_cast(PRICE).alias("price"),
         volume.alias("volume"),
         F.lit(LIVE_SOURCE).alias("source"),
+        (F.col("offset") * ENVELOPE_TRADES + F.col("place")).alias("seq"),
+        "unreadable",
     )
-    ticks = trades.select(F.inline(F.array(fields)))
-    return check_ticks(ticks)
+    ticks = check_ticks(trades.select(F.inline(F.array(fields))))
+    return ticks.withColumn(REASON, F.coalesce("unreadable", REASON)).drop("unreadable")

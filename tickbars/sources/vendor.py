@@ -27,14 +27,17 @@ def decode_payloads(payloads: DataFrame) -> DataFrame:
     return payloads.select("symbol", F.inline(F.array(F.from_json("payload", VENDOR_PAYLOAD))))
 
 
-def _all_bars(payloads: DataFrame) -> DataFrame:
+def all_bars(payloads: DataFrame) -> DataFrame:
     """Bars of the payloads with status `ok`, cast to their types, with `reject_reason`.
 
-    An offset in the datetime text is overwritten by UTC, not converted: a cast to TIMESTAMP_NTZ
-    ignores it. A missing volume is 0.
+    A payload whose status is not `ok`, is absent or cannot be read is one refused row without a `position`. An offset
+    in the datetime text is overwritten by UTC, not converted: a cast to TIMESTAMP_NTZ ignores it. A missing volume is 0.
     """
-    decoded = decode_payloads(payloads)
-    bars = decoded.select("symbol", F.posexplode(F.when(F.col("status") == "ok", F.col("values"))).alias("position", "bar"))
+    status = F.col("status")
+    failed = F.when(~status.eqNullSafe("ok"), F.concat(F.lit("status "), F.coalesce(status, F.lit("missing"))))
+    values = F.when(status == "ok", F.col("values"))
+    bars = decode_payloads(payloads).select("symbol", failed.alias("failed"), F.posexplode_outer(values).alias("position", "bar"))
+    bars = bars.filter(F.col("position").isNotNull() | F.col("failed").isNotNull())
     prices = {f"{n}_price": F.col(f"bar.{n}").try_cast("double").try_cast(PRICE) for n in ("open", "high", "low", "close")}
     start = F.col("bar.datetime").try_cast("timestamp_ntz").cast("timestamp")
     fields = F.struct(
@@ -45,26 +48,30 @@ def _all_bars(payloads: DataFrame) -> DataFrame:
         F.coalesce("bar.volume", F.lit("0")).try_cast("double").try_cast("bigint").alias("volume"),
         F.lit(BACKFILL_SOURCE).alias("source"),
     )
-    typed = bars.select("symbol", "position", F.inline(F.array(fields)))
+    typed = bars.select("symbol", "failed", "position", F.inline(F.array(fields)))
     checks = [(F.col(name).isNull(), f"bad {name}") for name in ["candle_start", *prices, "volume"]]
-    return typed.withColumn(REASON, first_reason(checks))
+    return typed.withColumn(REASON, F.coalesce("failed", first_reason(checks))).drop("failed")
 
 
 def decode_bars(payloads: DataFrame, start: Column, end: Column) -> DataFrame:
     """Good bars that start in [start, end). `position` is the bar's place in its payload."""
-    return starting_in(accepted(_all_bars(payloads)).drop("datetime"), start, end)
+    return good_bars(all_bars(payloads), start, end)
+
+
+def good_bars(bars: DataFrame, start: Column, end: Column) -> DataFrame:
+    return starting_in(accepted(bars).drop("datetime"), start, end)
 
 
 def payload_rejects(payloads: DataFrame) -> DataFrame:
     """Whole payloads whose status is not `ok`, is absent or cannot be read."""
-    status = F.col("status")
-    return (
-        decode_payloads(payloads)
-        .filter(~status.eqNullSafe("ok"))
-        .select("symbol", F.concat(F.lit("status "), F.coalesce(status, F.lit("missing"))).alias(REASON))
-    )
+    return backfill_rejects(all_bars(payloads)).filter("position IS NULL").select("symbol", REASON)
 
 
 def bar_rejects(payloads: DataFrame) -> DataFrame:
     """Bars of good payloads with an unreadable time or number."""
-    return rejected(_all_bars(payloads)).select("symbol", "datetime", REASON)
+    return backfill_rejects(all_bars(payloads)).filter("position IS NOT NULL").select("symbol", "datetime", REASON)
+
+
+def backfill_rejects(bars: DataFrame) -> DataFrame:
+    """Both of these from one decoding; a whole payload has no `position` and no `datetime`."""
+    return rejected(bars).select("symbol", "datetime", "position", REASON)

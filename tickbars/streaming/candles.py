@@ -16,24 +16,31 @@ from tickbars.schemas import TRIGGER_INTERVAL, WATERMARK
 from tickbars.sources.tables import MarketTables
 from tickbars.sources.ticks import decode_ticks
 
-FUTURE_TOLERANCE = "INTERVAL 10 MINUTES"
-# A micro-batch changes few candles per state partition; one file each would flood the table.
+FUTURE_TOLERANCE = "10 minutes"
+# A micro-batch changes few candles per state partition; one file each would flood the table. The session behind a
+# micro-batch has adaptive execution off, so files are counted here and not sized at run time.
 CANDLES_PER_FILE = 500_000
 
 
-def checked_ticks(messages: DataFrame) -> DataFrame:
-    """Decoded ticks with `reject_reason`; times well ahead of the clock are refused."""
-    latest = F.current_timestamp() + F.expr(FUTURE_TOLERANCE)
-    return check_ticks(decode_ticks(messages), latest)
+def checked_ticks(messages: DataFrame, tolerance: str = FUTURE_TOLERANCE) -> DataFrame:
+    """Decoded ticks with `reject_reason`; times more than `tolerance` ahead of the message's arrival are refused.
+
+    The arrival belongs to the message, so the candle query and the reject query agree on every tick. Messages without
+    one are held against the clock.
+    """
+    ticks = decode_ticks(messages)
+    clock = F.current_timestamp()
+    arrived = F.coalesce("arrived", clock) if "arrived" in ticks.columns else clock
+    return check_ticks(ticks, arrived + F.expr(f"INTERVAL {tolerance}")).drop("arrived")
 
 
-def streaming_candles(messages: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+def streaming_candles(messages: DataFrame, watermark: str = WATERMARK, tolerance: str = FUTURE_TOLERANCE) -> DataFrame:
     """The same candle definition as the batch one, on ticks with an event-time watermark.
 
     A tick is dropped once its whole window lies behind the watermark, so a finished candle is
     never replaced by a partial one.
     """
-    return tick_candles(accepted(checked_ticks(messages)).withWatermark("event_time", watermark))
+    return tick_candles(accepted(checked_ticks(messages, tolerance)).withWatermark("event_time", watermark))
 
 
 def writer_run(spark: SparkSession, checkpoint: str) -> int:
@@ -43,8 +50,14 @@ def writer_run(spark: SparkSession, checkpoint: str) -> int:
     """
     path = f"{checkpoint.rstrip('/')}/writer_run"
     now = int(time.time() * 1000)
-    spark.range(1).select(F.lit(now).cast("bigint").alias("run")).write.mode("ignore").parquet(path)
-    return spark.read.schema("run BIGINT").parquet(path).first().run
+    first = spark.range(1).select(F.lit(now).cast("bigint").alias("run"))
+    first.write.mode("ignore").parquet(path)
+    kept = spark.read.schema("run BIGINT").parquet(path).first()
+    if kept is None:
+        # An earlier start made the folder and died before its row was in it.
+        first.write.mode("append").parquet(path)
+        kept = spark.read.schema("run BIGINT").parquet(path).first()
+    return kept.run
 
 
 def start_candles(
@@ -57,6 +70,8 @@ def start_candles(
     watermark: str = WATERMARK,
     trigger: str = TRIGGER_INTERVAL,
     state_partitions: int | None = None,
+    tolerance: str = FUTURE_TOLERANCE,
+    candles_per_file: int = CANDLES_PER_FILE,
 ) -> StreamingQuery:
     """Start the job: upsert every changed candle, then refresh the 24h summary.
 
@@ -79,14 +94,14 @@ def start_candles(
             changed = batch.count()
             if changed == 0:
                 return
-            tables.candles.upsert(batch, run, batch_id, files=-(-changed // CANDLES_PER_FILE))
+            tables.candles.upsert(batch, run, batch_id, files=-(-changed // candles_per_file))
             if refresh:
                 refresh_summary(spark, tables, run, batch_id, as_of)
         finally:
             batch.unpersist()
 
     writer = (
-        streaming_candles(messages, watermark)
+        streaming_candles(messages, watermark, tolerance)
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write_batch)
@@ -103,10 +118,12 @@ def start_candles(
         spark.conf.set("spark.sql.shuffle.partitions", width)
 
 
-def start_rejects(messages: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Keep refused ticks, with the reason, in a Parquet folder."""
+def start_rejects(
+    messages: DataFrame, path: str, checkpoint: str, available_now: bool = False, tolerance: str = FUTURE_TOLERANCE
+) -> StreamingQuery:
+    """Keep refused ticks, with the reason, in a Parquet folder. Use the tolerance of the candle query."""
     writer = (
-        rejected(checked_ticks(messages))
+        rejected(checked_ticks(messages, tolerance))
         .writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
