@@ -2,7 +2,9 @@
 
 import pytest
 
-from checks.queries import QUERIES, combined_hourly, ticks_decode
+from checks.queries import AS_OF, DAY, QUERIES, _backfill, _live, combined_hourly, ticks_decode
+from tickbars.functions import instant
+from tickbars.plans.summary import pair_analysis_24h
 
 SF_DIR = "/root/testdata/sf0.01"
 LAZY = [n for n in sorted(QUERIES) if not n.startswith(("stream_", "upsert_", "backfill_refresh"))]
@@ -22,7 +24,8 @@ def test_candles_are_hash_aggregated_before_the_shuffle(spark, plan):
 
 
 def test_summary_scans_only_its_day(spark, plan):
-    text = plan(QUERIES["pair_analysis_24h"](spark, SF_DIR)).split("== Physical Plan ==")[1]
+    live, bars = (part(spark, SF_DIR, AS_OF - DAY) for part in (_live, _backfill))
+    text = plan(pair_analysis_24h(live, bars, instant(AS_OF))).split("== Physical Plan ==")[1]
     assert text.count("GreaterThanOrEqual(ts,2024-01-30T00:00") == text.count("FileScan")
     assert "LeftAnti" in text
 
@@ -39,4 +42,5 @@ def test_messages_are_parsed_once(spark, plan):
 
 def test_report_filter_reaches_the_scan(spark, plan):
     text = plan(QUERIES["volume_series"](spark, SF_DIR)).split("== Physical Plan ==")[1]
-    assert text.count("EqualTo(event_type,purchase)") == text.count("FileScan")
+    # One scan of each table.
+    assert text.count("EqualTo(event_type,purchase)") == text.count("FileScan") == 2

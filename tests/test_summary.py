@@ -3,7 +3,7 @@ from helpers import at, candles, rows, wall
 from pyspark.sql import functions as F
 
 from tickbars.functions import instant
-from tickbars.operators.coverage import bars_outside_live_hours, combined_hourly, live_hours, uncovered_bars
+from tickbars.operators.coverage import combined_hourly, live_and_uncovered, uncovered_bars
 from tickbars.operators.rollup import symbol_rollup, with_price_change
 from tickbars.plans.summary import live_hourly_24h, pair_analysis_24h
 from tickbars.schemas import PAIR_ANALYSIS_24H
@@ -39,7 +39,7 @@ def test_off_the_hour_bar_counts_in_the_summary_but_not_in_the_chart(spark, as_o
     live = candles(spark, [("A", "2024-01-01 10:05:00", "1", "1", "1", "1", 1)])
     bars = hour(spark, ("A", "2024-01-01 10:30:00", "7", "7", "7", "7", 7))
     assert uncovered_bars(bars, live_hourly_24h(live, as_of)).count() == 1
-    assert bars_outside_live_hours(bars, live_hours(live)).count() == 0
+    assert live_and_uncovered(live, bars.select(*live.columns)).count() == live.count()
 
 
 def test_lookback_cuts_the_first_hour_midway(spark):

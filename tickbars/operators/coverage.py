@@ -6,7 +6,7 @@ the summary compares bar starts with live hours as they are, the chart first cut
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickbars.functions import hour_of
@@ -39,7 +39,9 @@ def live_hours(candles: DataFrame) -> DataFrame:
     return candles.select("symbol", hour_of(F.col("candle_start")).alias("candle_hour")).distinct()
 
 
-def bars_outside_live_hours(backfill: DataFrame, hours: DataFrame) -> DataFrame:
-    """Chart rule: drop a bar if any live minute lies in the hour its start belongs to."""
-    keyed = backfill.withColumn("candle_hour", hour_of(F.col("candle_start")))
-    return keyed.join(hours, ["symbol", "candle_hour"], "left_anti").select(*backfill.columns)
+def live_and_uncovered(candles: DataFrame, backfill: DataFrame) -> DataFrame:
+    """Chart rule: all live minutes, and the bars in whose hour no live minute lies. Both have the same columns."""
+    hour = Window.partitionBy("symbol", hour_of(F.col("candle_start")))
+    both = candles.withColumn("is_live", F.lit(True)).unionByName(backfill.withColumn("is_live", F.lit(False)))
+    chosen = both.withColumn("hour_is_live", F.bool_or("is_live").over(hour)).filter("is_live = hour_is_live")
+    return chosen.drop("is_live", "hour_is_live")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickbars.functions import hour_of
-from tickbars.operators.coverage import bars_outside_live_hours, live_hours
+from tickbars.operators.coverage import live_and_uncovered
 from tickbars.operators.filters import starting_between, starting_in
 
 REPORT_COLUMNS = [
@@ -36,14 +36,14 @@ def _selected_candles(
     """Live minutes of a symbol plus its backfill hours without any live minute, both ends included.
 
     Live coverage is not limited to the range, but only hours that a bar of the range starts in
-    matter, so the scan for it is cut to the whole hours around the range.
+    matter, so both tables are read once, over the whole hours around the range, and cut to it at the end.
     """
     start, end = F.timestamp_seconds(F.lit(from_epoch)), F.timestamp_seconds(F.lit(to_epoch))
-    live = candles.filter(F.col("symbol") == symbol)
-    bars = starting_between(backfill.filter(F.col("symbol") == symbol), start, end)
-    around = starting_in(live, *scan_range(from_epoch, to_epoch))
-    filled = bars_outside_live_hours(bars.select("symbol", "candle_start", *columns), live_hours(around))
-    return starting_between(live, start, end).select(*filled.columns).unionByName(filled)
+    live, bars = (
+        starting_in(rows.filter(F.col("symbol") == symbol), *scan_range(from_epoch, to_epoch)).select("symbol", "candle_start", *columns)
+        for rows in (candles, backfill)
+    )
+    return starting_between(live_and_uncovered(live, bars), start, end)
 
 
 def candlestick_series(
