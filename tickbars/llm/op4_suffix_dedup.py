@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars.llm import repeats
+from tickbars.llm.repeats import covered, range_arrays
 from tickbars.llm.texts import BYTE_LETTERS, Prefix, mix, text_chunks
 
 LENGTH = 400
@@ -81,7 +82,7 @@ def contexts(rows: DataFrame) -> DataFrame:
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             for first, last, data, bounds in text_chunks(batch.column(1)):
-                row, around, lo, hi, is_open, classes = repeats.range_arrays(batch.column(2).slice(first, last - first))
+                row, around, lo, hi, is_open, classes = range_arrays(batch.column(2).slice(first, last - first))
                 base = bounds[row]
                 anchor = triggers(Prefix(BYTE_LETTERS[data]), len(data))[base + lo] - base
                 held = data.tobytes()
@@ -195,8 +196,8 @@ def cut(rows: DataFrame) -> DataFrame:
         for batch in batches:
             ids = batch.column(0)
             for first, last, data, bounds in text_chunks(batch.column(1)):
-                row, lo, hi = repeats.range_arrays(batch.column(2).slice(first, last - first))
-                gone = repeats.covered(len(data), bounds[:-1], row, lo, hi, LENGTH)
+                row, lo, hi = range_arrays(batch.column(2).slice(first, last - first))
+                gone = covered(len(data), bounds[:-1], row, lo, hi, LENGTH)
                 total = np.concatenate(([0], np.cumsum(gone)))
                 begins = gone.copy()
                 begins[1:] &= ~gone[:-1]

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars.llm import repeats
+from tickbars.llm.repeats import covered, range_arrays
 from tickbars.llm.texts import Prefix, mix, text_chunks, word_letters, word_spans
 
 LENGTH = 35
@@ -140,9 +141,9 @@ def cut(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, data, bounds in text_chunks(batch.column(1)):
-                row, lo, hi = repeats.range_arrays(batch.column(2).slice(first, last - first))
+                row, lo, hi = range_arrays(batch.column(2).slice(first, last - first))
                 starts, ends, offsets = word_spans(data, bounds)
-                gone = repeats.covered(len(starts), offsets[:-1], row, lo, hi, LENGTH)
+                gone = covered(len(starts), offsets[:-1], row, lo, hi, LENGTH)
                 total = np.concatenate(([0], np.cumsum(gone)))
                 # Each kept word with one byte after it, made a space: a row's words are then one slice.
                 begins, ends = starts[~gone], ends[~gone]
