@@ -64,7 +64,7 @@ def pair(names: np.ndarray, starts: np.ndarray, fixed: np.ndarray, total: int, l
 
 def _least(names: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Index of the least name in names[first:last], the first on ties; ranges aren't empty and at most LENGTH long."""
-    table = [(mix(names) & _U(0xFFFFFFFFFF000000)) | np.arange(len(names), dtype=np.uint64)]
+    table = [(mix(names) & _U(0xFFFFFFFF00000000)) | np.arange(len(names), dtype=np.uint64)]
     while 2 ** len(table) <= LENGTH:
         prior, step = table[-1], 2 ** (len(table) - 1)
         table.append(np.concatenate((np.minimum(prior[:-step], prior[step:]), prior[-step:])))
@@ -72,7 +72,7 @@ def _least(names: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray
     power = np.frexp(length)[1] - 1
     grid = np.stack(table)
     least = np.minimum(grid[power, first], grid[power, last - (1 << power)])
-    return (least & _U(0xFFFFFF)).astype(np.int64)
+    return (least & _U(0xFFFFFFFF)).astype(np.int64)
 
 
 def anchors(names: np.ndarray, offsets: np.ndarray, start: np.ndarray) -> np.ndarray:
