@@ -2,7 +2,8 @@
 
 Fixture choices, mirrored by `checks/oracle.py`:
 * live candles have an outage from 06:00 to 11:59 every day, so backfill has hours to fill;
-* the bars of 05:00 and 08:00 have a twin that starts at half past, where the two coverage rules differ.
+* the bars of 05:00 and 08:00 have a twin that starts at half past, where the two coverage rules differ;
+* the `*_bounds` queries cut inside the data, at instants on which candles start.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickbars.functions import instant, lookback_start, to_ntz
@@ -27,7 +28,7 @@ from tickbars.sources.events import as_ticks, events_as_ticks
 from tickbars.sources.tables import MarketTables
 from tickbars.sources.ticks import decode_ticks, encode_ticks, landed_messages
 from tickbars.sources.trades import decode_envelopes
-from tickbars.streaming.candles import start_candles
+from tickbars.streaming.candles import start_candles, start_rejects
 
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 DAY = timedelta(days=1)
@@ -38,6 +39,9 @@ REPORT_TO = int(AS_OF.timestamp())
 FETCH_FROM = datetime(2024, 1, 2, tzinfo=timezone.utc)
 FETCH_TO = datetime(2024, 1, 30, tzinfo=timezone.utc)
 CORRECTED_FROM = datetime(2024, 1, 16, tzinfo=timezone.utc)
+#: In the outage, so bars start here, and a day and ten days before.
+OUTAGE_BOUND = datetime(2024, 1, 20, 8, tzinfo=timezone.utc)
+LIVE_BOUND = datetime(2024, 1, 20, 14, tzinfo=timezone.utc)
 
 
 # Fixtures
@@ -132,6 +136,66 @@ def volume_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_ntz(reports.volume_series(live, backfill, REPORT_SYMBOL, REPORT_FROM, REPORT_TO))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """With the place of each row of an ordered report, so that the order shows in its values."""
+    counted = rows.withColumn("_at", F.monotonically_increasing_id())
+    return counted.withColumn("place", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+
+
+def candlestick_series_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    live, backfill = _live(spark, sf_dir), _backfill(spark, sf_dir)
+    since, until = (int(t.timestamp()) for t in (OUTAGE_BOUND - 10 * DAY, OUTAGE_BOUND))
+    return to_ntz(_numbered(reports.candlestick_series(live, backfill, REPORT_SYMBOL, since, until)))
+
+
+def volume_series_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    live, backfill = _live(spark, sf_dir), _backfill(spark, sf_dir)
+    since, until = (int(t.timestamp()) for t in (OUTAGE_BOUND - 10 * DAY, OUTAGE_BOUND))
+    return to_ntz(_numbered(reports.volume_series(live, backfill, REPORT_SYMBOL, since, until)))
+
+
+def pair_report_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two symbols have the same change."""
+    rows = summary.pair_analysis_24h(*_last_day(spark, sf_dir), instant(AS_OF)).withColumn("updated_at", instant(AS_OF))
+    same = F.when(F.col("symbol").isin("view", "click"), F.lit(0).cast("decimal(10,4)")).otherwise(F.col("price_change_pct"))
+    return _numbered(reports.pair_report(rows.withColumn("price_change_pct", same))).select("place", "symbol", "price_change_pct")
+
+
+def symbol_list_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _numbered(symbol_list(spark, sf_dir))
+
+
+def _on_the_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ticks of an hour happen as it begins."""
+    return _ticks(spark, sf_dir).withColumn("event_time", F.date_trunc("HOUR", "event_time"))
+
+
+def tied_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open and close of equal times go by the sequence."""
+    return to_ntz(tick_candles(_on_the_hour(spark, sf_dir)))
+
+
+def live_hourly_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live candles start exactly on both ends of the window."""
+    return to_ntz(summary.live_hourly_24h(tick_candles(_on_the_hour(spark, sf_dir)), instant(LIVE_BOUND)))
+
+
+def summary_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars start exactly on both ends. `signup` opens at zero, and `error` has bars alone, of no length: the table refuses both."""
+    error = F.col("symbol") == "error"
+    bars = _backfill(spark, sf_dir).withColumns(
+        {
+            "open_price": F.when(F.col("symbol") == "signup", F.lit(0).cast("decimal(18,6)")).otherwise(F.col("open_price")),
+            "candle_end": F.when(error, F.col("candle_start")).otherwise(F.col("candle_end")),
+        }
+    )
+    rows = summary.pair_analysis_24h(_live(spark, sf_dir).filter(~error), bars, instant(OUTAGE_BOUND))
+    table = _tables(spark, "summary_bounds").summary.create(spark)
+    table.upsert(rows, run=1, batch_id=0)
+    good = table.read(spark).withColumn(quality.REASON, F.lit("good"))
+    return to_ntz(good.unionByName(table.rejects(spark).select(*good.columns)).drop("updated_at"))
+
+
 def symbol_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.symbol_list(_live(spark, sf_dir), _backfill(spark, sf_dir))
 
@@ -344,6 +408,18 @@ def backfill_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_ntz(tables.summary.read(spark).drop("updated_at"))
 
 
+def both_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream and the backfill job at once on the same tables, each refreshing the summary; then a last refresh."""
+    root = work_dir(spark, "both_writers")
+    tables = MarketTables(f"{root}/tables").create(use_utc(spark))
+    messages = encode_ticks(_without_outage(_event_stream(spark, sf_dir)))
+    stream = start_candles(messages, tables, f"{root}/checkpoint", available_now=True, as_of=FETCH_TO)
+    load_backfill(spark, _payloads(spark, sf_dir), tables, SYMBOLS, as_of=FETCH_TO, run=2)
+    stream.awaitTermination()
+    summary.refresh_summary(spark, tables, run=3, batch_id=0, as_of=FETCH_TO)
+    return to_ntz(tables.summary.read(spark).drop("updated_at"))
+
+
 # Streams
 
 
@@ -379,6 +455,35 @@ def stream_pair_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_ntz(tables.summary.read(spark).drop("updated_at"))
 
 
+def stream_triggered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream on its own trigger, ended when it has taken all there is."""
+    root = work_dir(spark, "stream_triggered")
+    tables = MarketTables(f"{root}/tables")
+    query = start_candles(encode_ticks(_event_stream(spark, sf_dir)), tables, f"{root}/checkpoint", refresh=False)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return _stored_candles(spark, tables)
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of seven messages one is garbage and one a century ahead: each tick is in a candle or among the refused."""
+    root = work_dir(spark, "stream_rejects")
+    tables = MarketTables(f"{root}/tables")
+    kind = F.col("seq") % 7
+    ticks = _event_stream(spark, sf_dir)
+    ahead = F.when(kind == 1, F.col("event_time") + F.expr("INTERVAL 100 YEARS")).otherwise(F.col("event_time"))
+    messages = encode_ticks(ticks.withColumn("event_time", ahead))
+    garbage = F.when(F.col("offset") % 7 == 0, F.lit("garbage").cast("binary")).otherwise(F.col("value").cast("binary"))
+    messages = messages.withColumn("value", garbage)
+    _run(messages, tables, f"{root}/checkpoint", refresh=False)
+    start_rejects(messages, f"{root}/rejects", f"{root}/checkpoint-rejects", available_now=True).awaitTermination()
+    counted = tables.candles.read(spark).groupBy("symbol").agg(F.sum("trade_count").alias("ticks"))
+    refused = spark.read.parquet(f"{root}/rejects").groupBy("symbol", quality.REASON).agg(F.count(F.lit(1)).alias("ticks"))
+    return counted.withColumn(quality.REASON, F.lit("good")).unionByName(refused)
+
+
 def _land_and_run(spark: SparkSession, slices: list[DataFrame], name: str) -> DataFrame:
     """Land each slice of ticks as message files and run the stream over it, on one checkpoint."""
     root = work_dir(spark, name)
@@ -421,6 +526,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "candlestick_series": candlestick_series,
     "volume_series": volume_series,
     "symbol_list": symbol_list,
+    "candlestick_series_bounds": candlestick_series_bounds,
+    "volume_series_bounds": volume_series_bounds,
+    "pair_report_order": pair_report_order,
+    "symbol_list_order": symbol_list_order,
+    "tied_candles": tied_candles,
+    "live_hourly_bounds": live_hourly_bounds,
+    "summary_bounds": summary_bounds,
     "ticks_encode": ticks_encode,
     "ticks_decode": ticks_decode,
     "tick_rejects": tick_rejects,
@@ -436,8 +548,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_backfill": upsert_backfill,
     "upsert_pair_analysis": upsert_pair_analysis,
     "backfill_refresh": backfill_refresh,
+    "both_writers": both_writers,
     "stream_candles_1m": stream_candles_1m,
     "stream_pair_analysis": stream_pair_analysis,
     "stream_restart": stream_restart,
     "stream_late_data": stream_late_data,
+    "stream_triggered": stream_triggered,
+    "stream_rejects": stream_rejects,
 }
