@@ -9,7 +9,7 @@ from helpers import at, candles, rows, ticks, wall
 from tickbars.plans.summary import pair_analysis_24h
 from tickbars.functions import instant
 from tickbars.operators.candles import tick_candles
-from tickbars.sources.tables import MarketTables
+from tickbars.sources.tables import MarketTables, RunFiles
 from tickbars.sources.ticks import encode_ticks, landed_messages, text_messages
 from tickbars.streaming.candles import start_candles, start_rejects, streaming_candles, writer_run
 from tickbars.streaming.publish import start_publish
@@ -142,6 +142,21 @@ def test_each_batch_refreshes_the_summary(landing, spark):
     assert sorted(rows(got, "symbol", "open_24h", "close_24h", "total_volume")) == [("A", 10, 20, 2), ("B", 5, 5, 2), ("C", 2, 3, 6)]
 
 
+def test_a_streams_files_stay_few(landing, spark, monkeypatch):
+    monkeypatch.setattr(RunFiles, "LEAST", 2)
+    for k in range(9):
+        landing.land(("A", f"00:00:{10 + k}", 10 + k, 1), ("B", f"00:01:{10 + k}", 5, 2))
+    landing.run(files_per_batch=1, refresh=True, as_of="2024-01-01T12:00:00", merge_every=3)
+    got = rows(landing.tables.summary.read(spark), "symbol", "close_24h", "total_volume")
+    assert sorted(got) == [("A", 18, 9), ("B", 5, 18)]
+    for table in (landing.tables.candles, landing.tables.summary):
+        # Merged at batches 0, 3 and 6: the merged file of batch 6, those it came from, and two more batches.
+        assert len(list(Path(table.path).rglob("*.parquet"))) <= 7
+    landing.land(("A", "00:08:30", 50, 1))
+    landing.run(refresh=True, as_of="2024-01-01T12:00:00", merge_every=3)
+    assert sorted(rows(landing.tables.summary.read(spark), "symbol", "close_24h", "total_volume")) == [("A", 50, 10), ("B", 5, 18)]
+
+
 def test_future_time_does_not_close_the_stream(landing, spark):
     """A time in milliseconds read as seconds lies in a far year; it must not move the watermark."""
     good = {"symbol": "A", "event_time": "2024-01-01T00:00:10Z", "price": 1, "volume": 1}

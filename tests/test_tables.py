@@ -1,4 +1,5 @@
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 import pytest
 from helpers import at, candles, rows, wall
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from tickbars.functions import instant
 from tickbars.operators.quality import check_rows, key_violations, rejected
 from tickbars.schemas import CANDLES_1H_BACKFILL, CANDLES_1M, PAIR_ANALYSIS_24H
-from tickbars.sources.tables import KeyedTable, MarketTables
+from tickbars.sources.tables import KeyedTable, MarketTables, RunFiles
 
 DAY1, DAY2 = "2024-01-01 10:00:00", "2024-01-02 10:00:00"
 
@@ -180,3 +181,39 @@ def test_views_serve_plain_sql(spark, tmp_path):
     got = spark.sql("SELECT symbol, close_price FROM candles_1m WHERE symbol = :s", args={"s": "A"})
     assert rows(got) == [("A", 1)]
     assert spark.sql("SELECT * FROM pair_analysis_24h ORDER BY price_change_pct DESC").count() == 0
+
+
+def data_files(table):
+    return [str(f) for f in Path(table.path).rglob("*.parquet")]
+
+
+def test_merging_a_writers_files_changes_no_row(spark, table):
+    refused = one(spark, symbol="bad").withColumn("vwap", F.lit(None).cast("double"))
+    table.upsert(one(spark, symbol="other", price="7"), 2, 0)
+    table.upsert(one(spark, symbol="stale", start=DAY2), 1, 0)
+    for batch in range(1, RunFiles.LEAST + 1):
+        table.upsert(one(spark, price=str(batch)).union(refused) if batch < 3 else one(spark, price=str(batch)), 1, batch)
+    before, rejects = state(table, spark), table.rejects(spark).count()
+    files = RunFiles(table, 1)
+    listed = table.read(spark)
+    assert files.merge(spark) == RunFiles.LEAST
+    # The merged files stay until the next merge, for readers that know only them.
+    assert listed.count() == 3 and state(table, spark) == before
+    held = len(data_files(table))
+    assert files.merge(spark) == 0
+    assert state(table, spark) == before and table.rejects(spark).count() == rejects == 2
+    # One file each of the merged day, the other day and the other writer, and two of refused rows.
+    assert len(data_files(table)) == 5 < held
+    table.upsert(one(spark, price="99"), 1, 50)
+    assert state(table, spark)[0][2] == 99
+
+
+def test_a_writer_that_died_after_merging_goes_on(spark, table):
+    for batch in range(RunFiles.LEAST):
+        table.upsert(one(spark, price=str(batch + 1)), 1, batch)
+    before = state(table, spark)
+    RunFiles(table, 1).merge(spark)
+    again = RunFiles(table, 1)
+    again.merge(spark)
+    again.merge(spark)
+    assert state(table, spark) == before and len(data_files(table)) == 1

@@ -6,13 +6,18 @@ leaves nothing half-replaced, and a batch replayed after a failure appends the s
 changes nothing. Each writer has a folder of its own, `run=<run>`, in which it alone commits, so the stream and a
 backfill can write to one table at once. Below it time tables are split by `candle_date` only.
 
-Rows that break a table rule are stored in the same write with a `reject_reason`, each by itself. Readers skip them, so
-one bad row neither fails the batch nor replaces a good row; compacting copies them.
+Rows that break a table rule are stored in the same write with a `reject_reason`, each by itself and below
+`refused=true`. Readers prune them, so one bad row neither fails the batch nor replaces a good row; compacting copies them.
+
+A writer of many small batches merges its own files from time to time (`RunFiles`): the newest version of each key is
+written once more to the same folder, and the files it came from go at the next merge. A row that stands in both has one
+key and one version, so readers see the same table before, while and after.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +41,7 @@ class KeyedTable:
     def create(self, spark: SparkSession) -> KeyedTable:
         """Create the empty table unless it exists."""
         columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in self._layout().fields]
-        spark.range(0).select(*columns).write.mode("ignore").partitionBy("run", *self._split).parquet(self.path)
+        spark.range(0).select(*columns).write.mode("ignore").partitionBy("run", "refused", *self._split).parquet(self.path)
         return self
 
     @property
@@ -44,7 +49,8 @@ class KeyedTable:
         return [] if self.spec.date_of is None else ["candle_date"]
 
     def _layout(self) -> T.StructType:
-        split = [T.StructField("run", T.LongType()), *(T.StructField(name, T.DateType()) for name in self._split)]
+        split = [T.StructField("run", T.LongType()), T.StructField("refused", T.BooleanType())]
+        split += [T.StructField(name, T.DateType()) for name in self._split]
         return T.StructType([*self.spec.columns.fields, *_VERSION, *split])
 
     def upsert(
@@ -73,23 +79,27 @@ class KeyedTable:
             .withColumn("updated_at", F.coalesce("updated_at", F.current_timestamp()))
             .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         )
+        self._write(stored, run, files)
+
+    def _write(self, stored: DataFrame, run: int, files: int | None) -> None:
+        stored = stored.withColumn("refused", F.col(REASON).isNotNull())
         if self._split:
-            stored = stored.withColumn("candle_date", F.to_date(spec.date_of))
+            stored = stored.withColumn("candle_date", F.to_date(self.spec.date_of))
         stored = stored.hint("rebalance", *self._split) if files is None else stored.coalesce(files)
         # Sorted files let row-group statistics skip other symbols and times.
-        stored = stored.sortWithinPartitions(*self._split, *spec.key)
-        stored.write.mode("append").partitionBy(*self._split).parquet(f"{self.path}/run={run}")
+        stored = stored.sortWithinPartitions("refused", *self._split, *self.spec.key)
+        stored.write.mode("append").partitionBy("refused", *self._split).parquet(f"{self.path}/run={run}")
 
     def _stored(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(self._layout()).parquet(self.path)
 
     def rejects(self, spark: SparkSession) -> DataFrame:
         """Refused rows of all writes, with the reason."""
-        return rejected(self._stored(spark))
+        return rejected(self._stored(spark).filter("refused")).drop("refused")
 
     def versions(self, spark: SparkSession, since: Column | None = None, until: Column | None = None) -> DataFrame:
         """All good stored versions with `run` and `batch_id`, pruned to dates of [since, until]."""
-        rows = accepted(self._stored(spark))
+        rows = accepted(self._stored(spark).filter("NOT refused")).drop("refused")
         if since is not None:
             rows = rows.filter((F.col("candle_date") >= F.to_date(since)) & (F.col(self.spec.date_of) >= since))
         if until is not None:
@@ -98,10 +108,12 @@ class KeyedTable:
 
     def read(self, spark: SparkSession, since: Column | None = None, until: Column | None = None) -> DataFrame:
         """Current rows. For time tables, `since` / `until` (both inclusive) prune dates and row groups."""
+        return self._newest(self.versions(spark, since, until)).select(*self.spec.columns.fieldNames())
+
+    def _newest(self, versions: DataFrame) -> DataFrame:
         times = [f.name for f in self.spec.columns.fields if isinstance(f.dataType, T.TimestampType)]
         parts = [(F.unix_micros(c) if c in times else F.col(c), digits) for c, digits in self.spec.version]
-        rows = latest_by_key(self.versions(spark, since, until), self.spec.key, digit_order(*parts))
-        return rows.select(*self.spec.columns.fieldNames())
+        return latest_by_key(versions, self.spec.key, digit_order(*parts))
 
     def compact(self, spark: SparkSession, target_path: str) -> KeyedTable:
         """Write the current rows, and all refused ones, as the base of a new table, for the writers to go on with.
@@ -114,6 +126,45 @@ class KeyedTable:
         return target
 
 
+@dataclass
+class RunFiles:
+    """The files of good rows that one writer has in a table, for that writer to merge between its batches.
+
+    A folder (a date) is merged once it holds `LEAST` files. What was merged is deleted by the next merge only, so that
+    readers who listed it can finish; a writer that dies in between leaves files that its next start merges again.
+    """
+
+    table: KeyedTable
+    run: int
+    merged: list[str] = field(default_factory=list)
+
+    LEAST = 16
+
+    def merge(self, spark: SparkSession) -> int:
+        """Merge the crowded folders; the number of files merged."""
+        self._delete(spark)
+        table = self.table
+        rows = spark.read.schema(table._layout()).parquet(table.path).filter((F.col("run") == self.run) & ~F.col("refused"))
+        folders: dict[str, list[str]] = {}
+        # `inputFiles` knows no partition filter.
+        for name in map(unquote, rows.inputFiles()):
+            if f"/run={self.run}/refused=false/" in name:
+                folders.setdefault(name.rpartition("/")[0], []).append(name)
+        crowded = [name for names in folders.values() if len(names) >= self.LEAST for name in names]
+        if crowded:
+            own = spark.read.schema(table._layout()).option("basePath", table.path).parquet(*crowded)
+            table._write(table._newest(own.drop("refused", REASON)).withColumn(REASON, F.lit(None).cast("string")).drop("run"), self.run, None)
+            self.merged = crowded
+        return len(crowded)
+
+    def _delete(self, spark: SparkSession) -> None:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in self.merged:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(hadoop).delete(path, False)
+        self.merged = []
+
+
 @dataclass(frozen=True)
 class MarketTables:
     """The three tables below one root folder."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from datetime import datetime
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,13 +14,15 @@ from tickbars.operators.candles import tick_candles
 from tickbars.operators.quality import accepted, check_ticks, rejected
 from tickbars.plans.summary import refresh_summary
 from tickbars.schemas import TRIGGER_INTERVAL, WATERMARK
-from tickbars.sources.tables import MarketTables
+from tickbars.sources.tables import MarketTables, RunFiles
 from tickbars.sources.ticks import decode_ticks
 
 FUTURE_TOLERANCE = "10 minutes"
 # A micro-batch changes few candles per state partition; one file each would flood the table. The session behind a
 # micro-batch has adaptive execution off, so files are counted here and not sized at run time.
 CANDLES_PER_FILE = 500_000
+# Micro-batches between merges of the stream's files: about half an hour of the 10 s trigger.
+MERGE_EVERY = 200
 
 
 def checked_ticks(messages: DataFrame, tolerance: str = FUTURE_TOLERANCE) -> DataFrame:
@@ -72,12 +75,14 @@ def start_candles(
     state_partitions: int | None = None,
     tolerance: str = FUTURE_TOLERANCE,
     candles_per_file: int = CANDLES_PER_FILE,
+    merge_every: int = MERGE_EVERY,
 ) -> StreamingQuery:
     """Start the job: upsert every changed candle, then refresh the 24h summary.
 
     Update mode emits the whole current candle, never a delta, so the newest row per key is right.
     Summary bounds follow the clock unless `as_of` is given. `state_partitions` is the shuffle width
-    of the stream alone; it counts at the first start of a checkpoint and stays fixed after that.
+    of the stream alone; it counts at the first start of a checkpoint and stays fixed after that. Every `merge_every`
+    batches the files that the stream wrote are merged, so a refresh reads a bounded number of them.
     """
     # Tables are read with this session: the one behind a micro-batch has adaptive execution off.
     spark = messages.sparkSession
@@ -86,6 +91,8 @@ def start_candles(
     else:
         tables.candles.create(spark)
     run = writer_run(spark, checkpoint)
+    written = [RunFiles(table, run) for table in ((tables.candles, tables.summary) if refresh else (tables.candles,))]
+    counted = count()
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # Without this, each action would run the stateful plan again.
@@ -97,6 +104,10 @@ def start_candles(
             tables.candles.upsert(batch, run, batch_id, files=-(-changed // candles_per_file))
             if refresh:
                 refresh_summary(spark, tables, run, batch_id, as_of)
+            # The first batch of a start merges what an earlier start has left.
+            if next(counted) % merge_every == 0:
+                for files in written:
+                    files.merge(spark)
         finally:
             batch.unpersist()
 
