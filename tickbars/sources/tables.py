@@ -144,10 +144,9 @@ class RunFiles:
         """Merge the crowded folders; the number of files merged."""
         self._delete(spark)
         table = self.table
-        rows = spark.read.schema(table._layout()).parquet(table.path).filter((F.col("run") == self.run) & ~F.col("refused"))
         folders: dict[str, list[str]] = {}
         # `inputFiles` knows no partition filter.
-        for name in map(unquote, rows.inputFiles()):
+        for name in map(unquote, table._stored(spark).inputFiles()):
             if f"/run={self.run}/refused=false/" in name:
                 folders.setdefault(name.rpartition("/")[0], []).append(name)
         crowded = [name for names in folders.values() if len(names) >= self.LEAST for name in names]
