@@ -228,7 +228,7 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     spans = rims.groupBy("row_key").agg(F.collect_list(F.struct("around", "lo", "hi", "open", "classes")).alias("spans"))
     found = repeats.stored(contexts(rows.join(spans, "row_key")), "suffix-dedup-contexts")
     cold = found.filter(F.col("classes") <= hot).drop("classes").repartition("around").sortWithinPartitions("around")
-    named = hot_names(found.filter(F.col("classes") > hot))
+    named = repeats.stored(hot_names(found.filter(F.col("classes") > hot)), "suffix-dedup-names")
     ranges = repeats.ranges_of(copies, rim_windows(cold), repeats.repeated_names(named, "suffix-dedup"))
     return cut(rows.join(ranges, "row_key", "left").select("doc_id", "text", "ranges"))
 

@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 from tickbars.llm.texts import Prefix, stored, text_chunks
 
+#: Keys with over one part in HOT_PARTS of the rows are hot.
+HOT_PARTS = 1000
 SEGMENTS = "around long, whole long, row_key long, lo int, hi int"
 #: (chunk bytes, bounds) -> (row, lo, hi, around, whole); rows count within the chunk, lo and hi within the row.
 Parse = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, ...]]
@@ -78,28 +80,40 @@ def window_names(rows: DataFrame, letters: Letters, length: int) -> DataFrame:
     return rows.select("row_key", "text", "spans").mapInArrow(run, "name long, check long, row_key long, start int, open boolean")
 
 
+def having(rows: DataFrame, counted: DataFrame, *keys: str) -> DataFrame:
+    """The rows whose keys are in `counted`. Both are stored tables; counted: the keys and n, how many of the rows have them.
+
+    Fewer than `HOT_PARTS` keys can have over one part in `HOT_PARTS` of the counted rows each. Those are broadcast, so the rows of a hot
+    key are found where they are; the others meet by shuffle, and no task gets more than that part for one key.
+    """
+    most = (counted.agg(F.sum("n")).first()[0] or 0) // HOT_PARTS
+    hot = F.broadcast(counted.filter(F.col("n") > most).select(*keys))
+    rest = counted.filter(F.col("n") <= most).select(*keys)
+    on = list(keys)
+    return rows.join(hot, on, "left_semi").unionByName(rows.join(hot, on, "left_anti").join(rest, on, "left_semi"))
+
+
 def classes_of(rows: DataFrame, parse: Parse, name: str) -> tuple[DataFrame, DataFrame]:
     """Rounds 1 and 2: (row_key, lo, hi) of segments that have an equal, and one member of each class that may share only some windows.
 
     The second also has `around`, `open` (no equal segment was found) and `classes`, the size of its group.
     """
     found = stored(segments(rows, parse), f"{name}-segments")
-    # Counts are stored before they are joined back: only then can Spark split a hot key of the other side.
-    shared = stored(found.groupBy("around").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("around"), f"{name}-counts")
-    near = stored(found.join(shared, "around", "left_semi"), f"{name}-shared")
+    shared = stored(found.groupBy("around").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), f"{name}-counts")
+    near = stored(having(found, shared, "around"), f"{name}-shared")
     classes = near.groupBy("around", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "lo", "hi")).alias("first"))
     classes = stored(classes, f"{name}-classes")
     groups = classes.groupBy("around").agg(F.count(F.lit(1)).alias("classes"), F.count_if(F.col("n") == 1).alias("open_classes"))
     groups = stored(groups.filter("classes > 1 and open_classes > 0").select("around", "classes"), f"{name}-groups")
-    copies = near.join(classes.filter("n > 1").select("around", "whole"), ["around", "whole"], "left_semi").select("row_key", "lo", "hi")
+    copies = having(near, classes.filter("n > 1"), "around", "whole").select("row_key", "lo", "hi")
     rims = classes.join(groups, "around").select("around", "classes", "first.*", (F.col("n") == 1).alias("open"))
     return copies, rims
 
 
 def repeated_names(windows: DataFrame, name: str) -> DataFrame:
     """(row_key, lo, hi) of the open windows whose name another window has."""
-    twice = stored(windows.groupBy("name", "check").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name", "check"), f"{name}-names")
-    return windows.filter("open").join(twice, ["name", "check"], "left_semi").select("row_key", F.col("start").alias("lo"), F.col("start").alias("hi"))
+    twice = stored(windows.groupBy("name", "check").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), f"{name}-names")
+    return having(windows.filter("open"), twice, "name", "check").select("row_key", F.col("start").alias("lo"), F.col("start").alias("hi"))
 
 
 def ranges_of(*starts: DataFrame) -> DataFrame:
