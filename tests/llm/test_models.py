@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import brute
 from tickbars.llm import op1_quality, op5_language
+from tickbars.llm.samples import least_by_hash
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -60,6 +61,23 @@ def test_no_labels_keeps_what_passes_the_base_rule(spark):
     assert op1_quality.judged(docs, field).filter("_quality.kept = _quality.base_failed").count() == 0
 
 
+def test_samples_are_the_least_of_each_label(spark):
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("label"), F.xxhash64("id").alias("h"))
+    got = {(r["label"], r["doc_id"]) for r in least_by_hash(rows.drop("h"), "label", 40).collect()}
+    held = sorted((r["label"], r["h"], r["doc_id"]) for r in rows.collect())
+    assert got == {(label, d) for label in "ab" for _, _, d in [r for r in held if r[0] == label][:40]}
+
+
+def test_repeated_rows_train_once(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    twice = docs.unionByName(docs)
+    a, b = op5_language.trained_net(docs, 2000), op5_language.trained_net(twice, 2000)
+    assert all(np.array_equal(x, y) for x, y in zip([*a.tables, a.out], [*b.tables, b.out]))
+    c, d = op1_quality.trained_field(docs, labels), op1_quality.trained_field(twice, labels.unionByName(labels))
+    assert np.array_equal(c.weights, d.weights) and np.array_equal(c.moves, d.moves)
+
+
 def test_language_query_on_held_out_rows(spark):
     got = op5_language.op5_language(spark, MIDDLE).join(spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     assert len(got) == len(brute.documents(MIDDLE))

@@ -20,9 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickbars.llm.samples import least_by_hash
 from tickbars.llm.texts import BYTE_LETTERS, Prefix, mix, text_chunks, word_letters, word_spans
 
 CONTENT_SHARE = 0.5
@@ -228,11 +229,11 @@ class LineField:
 
 def trained_field(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineField:
     """Fit on a bounded sample: `sample` documents of each quality label, least by hash."""
-    by_hash = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
     marked = labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sized = docs.select("doc_id", F.length("text").alias("size")).filter(F.col("size").between(1, SAMPLE_CHARS)).join(marked, "doc_id")
-    picked = sized.withColumn("place", F.row_number().over(by_hash)).filter(F.col("place") <= sample).select("doc_id", "quality")
-    found = docs.select("doc_id", "text").filter(F.length("text").between(1, SAMPLE_CHARS)).join(picked, "doc_id").select("text", "quality").limit(4 * sample)
+    picked = least_by_hash(sized.select("doc_id", "quality"), "quality", sample)
+    found = docs.select("doc_id", "text").filter(F.length("text").between(1, SAMPLE_CHARS)).join(picked.distinct(), "doc_id")
+    found = found.distinct().orderBy(F.xxhash64("text"), "doc_id", "text", "quality").limit(4 * sample)
     rows = sorted((r["text"], r["quality"]) for r in found.collect())
     sequences, marks = [], []
     for text, quality in rows:

@@ -18,9 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickbars.llm.samples import least_by_hash
 from tickbars.llm.texts import text_chunks
 
 WIDTH = 256
@@ -129,11 +130,10 @@ def held_out(doc_id) -> F.Column:
 
 def trained_net(docs: DataFrame, sample: int = SAMPLE) -> ByteNet | None:
     """Fit on a bounded sample of labelled rows that aren't held out; None without any."""
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     learnable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    picked = learnable.select("doc_id", "lang").withColumn("place", F.row_number().over(by_hash)).filter(F.col("place") <= sample)
+    picked = least_by_hash(learnable.select("doc_id", "lang"), "lang", sample)
     texts = learnable.select("doc_id", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
-    rows = sorted(set((r["lang"], r["doc_id"], r["text"]) for r in texts.join(picked, "doc_id").select("lang", "doc_id", "text").collect()))
+    rows = sorted((r["lang"], r["doc_id"], r["text"]) for r in texts.join(picked.distinct(), "doc_id").distinct().collect())
     languages = sorted({r[0] for r in rows if _LETTER.search(r[2])})
     cells, labels = [], []
     for lang, _, text in rows:
