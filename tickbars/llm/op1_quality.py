@@ -228,11 +228,11 @@ class LineField:
 
 
 def trained_field(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineField:
-    """Fit on a bounded sample: `sample` documents of each quality label, least by hash."""
+    """Fit on a bounded sample: `sample` documents of each quality label, least by hash; their ids are broadcast."""
     marked = labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sized = docs.select("doc_id", F.length("text").alias("size")).filter(F.col("size").between(1, SAMPLE_CHARS)).join(marked, "doc_id")
     picked = least_by_hash(sized.select("doc_id", "quality"), "quality", sample)
-    found = docs.select("doc_id", "text").filter(F.length("text").between(1, SAMPLE_CHARS)).join(picked.distinct(), "doc_id")
+    found = docs.select("doc_id", "text").filter(F.length("text").between(1, SAMPLE_CHARS)).join(F.broadcast(picked.distinct()), "doc_id")
     found = found.distinct().orderBy(F.xxhash64("text"), "doc_id", "text", "quality").limit(4 * sample)
     rows = sorted((r["text"], r["quality"]) for r in found.collect())
     sequences, marks = [], []

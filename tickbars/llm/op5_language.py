@@ -129,11 +129,11 @@ def held_out(doc_id) -> F.Column:
 
 
 def trained_net(docs: DataFrame, sample: int = SAMPLE) -> ByteNet | None:
-    """Fit on a bounded sample of labelled rows that aren't held out; None without any."""
+    """Fit on a bounded sample of labelled rows that aren't held out, their ids broadcast; None without any."""
     learnable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     picked = least_by_hash(learnable.select("doc_id", "lang"), "lang", sample)
     texts = learnable.select("doc_id", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
-    rows = sorted((r["lang"], r["doc_id"], r["text"]) for r in texts.join(picked.distinct(), "doc_id").distinct().collect())
+    rows = sorted((r["lang"], r["doc_id"], r["text"]) for r in texts.join(F.broadcast(picked.distinct()), "doc_id").distinct().collect())
     languages = sorted({r[0] for r in rows if _LETTER.search(r[2])})
     cells, labels = [], []
     for lang, _, text in rows:
