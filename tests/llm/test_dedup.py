@@ -83,3 +83,27 @@ def test_near_stage(spark):
     assert kept.columns == df.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [3, 8, None]
     assert op7_simhash.stage(spark, df.filter("false"), "").collect() == []
+
+
+@pytest.mark.parametrize("operator", [op2_exact_dedup, op7_simhash])
+def test_ids_outlive_a_change_of_splits(spark, tmp_path, monkeypatch, operator):
+    """After the first action the source is split otherwise, as it is when executors come or go."""
+    rows = [(i // 2, f"text {i // 2} of its own " * 40 + f"{i // 2}") for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(8, "doc_id").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    keep = operator.stored
+
+    def stored(*args):
+        out = keep(*args)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        return out
+
+    monkeypatch.setattr(operator, "stored", stored)
+    try:
+        kept = [r["doc_id"] for r in operator.stage(spark, docs, "").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = {r["doc_id"] for r in operator.stage(spark, docs, "").collect()}
+    assert len(kept) == len(set(kept)) and set(kept) == want and want

@@ -9,7 +9,8 @@ The row with the most code points in its original text stays, then the smallest
 
 Edge cases: an empty table gives no rows; repeated rows are copies of each other, and one of them stays; an empty or
 null text is a copy of any text of white space alone; extra columns are carried, whatever their names (but `_dedup_*`).
-The rows must come from a stored table or another source that lists them in the same order twice.
+The rows are stored once with their ids: ids made again from the source could differ, since they hold the number of the scan's
+task, and that changes with the executors alive.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ def sha256(content: Column) -> Column:
 
 def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256, salts: int = SALTS) -> DataFrame:
     """The rows with _dedup_keep_id, _dedup_size, _dedup_kept and _dedup_digest."""
-    rows = docs.withColumn("_dedup_row", F.monotonically_increasing_id())
     content = F.translate(F.coalesce("text", F.lit("")), _SPACE, "")
+    rows = stored(docs.withColumn("_dedup_row", F.monotonically_increasing_id()).withColumn("_dedup_digest", digest(content)), "exact-dedup-rows", "zstd")
     # Rows are ranked by the smallest of these.
     order = F.struct(
         (-F.length(F.coalesce("text", F.lit("")))).alias("length"),
@@ -41,8 +42,8 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256, sa
         F.col("_dedup_row").alias("row"),
     )
     texts = rows.select(
-        content.alias("content"), order.alias("best"), F.pmod(F.xxhash64("_dedup_row"), F.lit(salts)).alias("salt"), F.lit(1).alias("n")
-    ).withColumn("digest", digest(F.col("content")))
+        F.col("_dedup_digest").alias("digest"), content.alias("content"), order.alias("best"), F.pmod(F.xxhash64("_dedup_row"), F.lit(salts)).alias("salt"), F.lit(1).alias("n")
+    )
 
     def combine(parts: DataFrame, *keys: str) -> DataFrame:
         return parts.groupBy(*keys).agg(F.min("best").alias("best"), F.sum("n").alias("n"))
@@ -55,7 +56,7 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256, sa
         ),
         "exact-dedup",
     )
-    members = rows.withColumn("_dedup_content", content).withColumn("_dedup_digest", digest(F.col("_dedup_content")))
+    members = rows.withColumn("_dedup_content", content)
     clashes = winners.groupBy("_dedup_digest").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1").select("_dedup_digest")
     if clashes.isEmpty():
         found = members.join(winners, "_dedup_digest")

@@ -99,7 +99,8 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of near copies one row with the smallest doc_id stays."""
-    rows = docs.withColumn("_near_row", F.monotonically_increasing_id())
+    # Stored, as ids made again from the source could differ: they hold the number of the scan's task.
+    rows = stored(docs.withColumn("_near_row", F.monotonically_increasing_id()), "simhash-rows", "zstd")
     groups = near_groups(rows)
     first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_near_row")).alias("first"))
     kept = stored(first.select("first._near_row"), "simhash-kept")

@@ -16,11 +16,11 @@ _U = np.uint64
 _ODD = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """The rows, written below the shared checkpoint folder and read back: later steps survive lost executors."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
