@@ -61,6 +61,36 @@ def test_url_filter_with_links(spark, tmp_path):
     assert sorted(cursor.fetchall(), key=repr) == sorted((tuple(r[n] for n in names) for r in got.values()), key=repr)
 
 
+LINKED = [
+    (1, "http://d.org", "<p>", "block"),
+    (2, "http://d2.org/a", link("c", "http://d.org/") + link("r", "http://k.net/fr/1"), "block"),
+    (3, "http://e.org/p", link("c", "/q?a=1&amp;b=2&#38;c=3&x;"), "block"),
+    (4, "http://e.org/q?a=1&b=2&c=3&x;", link("r", "http://k.net/fr/2"), "block"),
+    (5, "http://f.org/a/b/c", link("c", "../x"), "block"),
+    (6, "http://f.org/a/x", link("c", "http://k.net/es/3"), "block"),
+    (7, "http://g.org/a/b", link("c", "./y/."), "block"),
+    (8, "http://g.org/a/y/", link("c", "http://k.net/es/4"), "block"),
+    (9, "http://h.org/a/b?o=2", link("c", "?p=1"), "block"),
+    (10, "http://h.org/a/b?p=1", link("c", "http://k.net/es/5"), "block"),
+    (11, "http://i.org/z", link("c", "/out?u=http://k.net/fr/"), "allow"),
+    (12, "http://i.org/y", link("r", "out?u=http://k.net/fr/../es/"), "allow"),
+    (13, "http://j.org/z", link("c", "http://j.org/1") + link("c", "http://k.net/fr/6"), "block"),
+    (14, "http://l.org/z", link("r", "/1") + link("r", "http://k.net/fr/7"), "block"),
+    (15, "http://m.org/", link("c", "mailto:a@k.net/fr/") + link("r", "#part"), "allow"),
+    (16, "http://n.org/a/../../b", link("c", "http://k.net/x/../fr/8"), "block"),
+    (17, "http://n.org/b", None, "block"),
+    (18, "http://o.org?q=1", link("c", "s"), "block"),
+    (19, "http://o.org/s", link("c", "http://k.net/es/?a=/../b"), "block"),
+    (20, "http://o.org/?q=1", "<p>", "block"),
+]
+
+
+def test_links_are_resolved(spark):
+    df = spark.createDataFrame([page[:3] for page in LINKED], "page_id long, url string, html string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in op6_url_filter.filtered(df).collect()}
+    assert got == {page_id: (None, verdict) for page_id, _, _, verdict in LINKED}
+
+
 def test_url_filter_without_rows(spark):
     assert op6_url_filter.filtered(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 

@@ -7,10 +7,13 @@ its refresh redirect are edges, and distributed connected components carry a blo
 Allow has precedence: a url that a rule allows stays allowed whatever its aliases are, and a component in which a rule
 allows some url blocks none of the urls without a rule. Without any decision a page is allowed.
 
-Two urls are the same node if host, path and query agree: the scheme and the fragment don't tell pages apart. Link
-targets are judged by the rules, too, whether or not their page is in the table.
+Two urls are the same node if host, path and query agree, after dot segments are removed and with `/` for an empty path:
+the scheme and the fragment don't tell pages apart. All canonical and refresh tags of a page count; their links are resolved
+by RFC 3986 against the page's url. Link targets are judged by the rules, too, whether or not their page is in the table.
+OP6_SQL has a plainer reading of links, the same on pages whose links are absolute or simple paths.
 
-Edge cases: a null url, or one without `://`, has an empty host and path, no rule and no aliases; null html has no
+Edge cases: a link of a scheme without `//` (mailto:) is no page; of the character references, `&amp;`, `&lt;`, `&gt;`, `&quot;`,
+`&apos;` and ASCII numbers are decoded, the others stay as written; `<base>` isn't read; a null url, or one without `://`, has an empty host and path, no rule and no aliases; null html has no
 links; repeated rows are judged each alike; an empty table gives no rows; other columns are ignored.
 """
 
@@ -34,9 +37,11 @@ RULES: tuple[Rule, ...] = (
 )
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _CANONICAL = r"""(?i)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-_HREF = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
+_HREF = r"""(?i)\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
 _REFRESH = r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-_URL = r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)"""
+_URL = r"""(?i)\burl\s*=\s*["']?\s*([^"'\s>]+)"""
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|" + "|".join(_NAMED) + ");"
 
 
 def _part(url: Column, pattern: str) -> Column:
@@ -51,9 +56,26 @@ def path_of(url: Column) -> Column:
     return _part(url, r"^(?s:.*?)://[^/?#]*([^?#]*)")
 
 
+def without_dots(path: Column) -> Column:
+    """The path with `/` if empty and its dot segments removed."""
+    segments = F.split(F.regexp_replace(path, "^/", ""), "/")
+    # A path that ends in a dot segment is a folder.
+    segments = F.when(path.rlike(r"/\.\.?$"), F.concat(segments, F.array(F.lit("")))).otherwise(segments)
+    kept = F.aggregate(
+        segments,
+        F.array().cast("array<string>"),
+        lambda kept, one: F.when(one == ".", kept)
+        .when(one == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))))
+        .otherwise(F.concat(kept, F.array(one))),
+        lambda kept: F.concat(F.lit("/"), F.array_join(kept, "/")),
+    )
+    return F.when(path == "", F.lit("/")).when(path.rlike(r"/\.\.?(/|$)"), kept).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
     """Host, path and query; null without a `://`."""
-    return F.when(url.contains("://"), F.concat(host_of(url), _part(url, r"^(?s:.*?)://[^/?#]*([^#]*)")))
+    query = _part(url, r"^(?s:.*?)://[^/?#]*[^?#]*(\?[^#]*)")
+    return F.when(url.contains("://"), F.concat(host_of(url), without_dots(path_of(url)), query))
 
 
 def judged(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
@@ -65,25 +87,49 @@ def judged(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
+def unescaped(link: Column) -> Column:
+    """The link with its character references decoded."""
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, _REFERENCE, 1)
+        code = F.when(F.lower(name).startswith("#x"), F.conv(F.substring(name, 3, 6), 16, 10)).when(name.startswith("#"), F.substring(name, 2, 7)).try_cast("int")
+        char = F.when(code.between(1, 127), F.chr(code))
+        for named, letter in _NAMED.items():
+            char = F.when(name == named, F.lit(letter)).otherwise(char)
+        return F.when(char.isNotNull(), F.concat(char, F.regexp_replace(part, "^[^;]*;", ""))).otherwise(F.concat(F.lit("&"), part))
+
+    parts = F.split(link, "&")
+    return F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), decoded), ""))
+
+
 def target_of(url: Column, link: Column) -> Column:
-    """The link as an absolute url; null if there is none."""
+    """The link as an absolute url, its dot segments still in place; null if it leads to no other page."""
     scheme = F.regexp_extract(url, r"^(?s:.*?)://", 0)
     site = F.concat(scheme, _part(url, r"^(?s:.*?)://([^/?#]*)"))
     folder = F.regexp_replace(path_of(url), r"[^/]*$", "")
     return (
-        F.when(F.coalesce(link, F.lit("")) == "", F.lit(None))
-        .when(link.contains("://"), link)
+        F.when((F.coalesce(link, F.lit("")) == "") | link.startswith("#"), F.lit(None))
+        .when(link.rlike(r"^(?i)[a-z][a-z0-9+.-]*://"), link)
+        .when(link.rlike(r"^(?i)[a-z][a-z0-9+.-]*:"), F.lit(None))
         .when(link.startswith("//"), F.concat(F.regexp_extract(scheme, "^[^/]*", 0), link))
         .when(link.startswith("/"), F.concat(site, link))
+        .when(link.startswith("?"), F.concat(site, path_of(url), link))
         .otherwise(F.concat(site, F.when(folder == "", F.lit("/")).otherwise(folder), link))
     )
 
 
+def links_of(html: Column) -> Column:
+    """The links of all canonical and refresh tags, decoded."""
+    canonical = F.transform(F.regexp_extract_all(html, F.lit(_CANONICAL), F.lit(0)), lambda tag: F.regexp_extract(tag, _HREF, 1))
+    refresh = F.transform(F.regexp_extract_all(html, F.lit(_REFRESH), F.lit(0)), lambda tag: F.regexp_extract(tag, _URL, 1))
+    return F.transform(F.concat(canonical, refresh), unescaped)
+
+
 def filtered(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """page_id, host, path, rule, verdict."""
     url = F.col("url")
-    links = F.array(F.regexp_extract(F.regexp_extract("html", _CANONICAL, 0), _HREF, 1), F.regexp_extract(F.regexp_extract("html", _REFRESH, 0), _URL, 1))
-    targets = F.filter(F.transform(links, lambda link: node_of(target_of(url, link))), lambda node: node.isNotNull())
+    targets = F.transform(links_of(F.col("html")), lambda link: target_of(url, link))
+    targets = F.filter(F.transform(targets, node_of), lambda node: node.isNotNull())
     linked = pages.select(node_of(url).alias("u"), F.explode(targets).alias("v")).filter("u is not null and u != v")
     groups = components(linked, "url-filter")
     # A node is host, path and query: put a scheme before it and it is read like a url.
