@@ -5,9 +5,9 @@ the right one's is 1. A name is a function of the parts' names, so every task gi
 and equal word sequences get the same symbols inside, up to two symbols a round at either end. Long symbols stand
 back, so that a window always holds whole symbols.
 
-A window's anchor is the least-named symbol among those whose bounds follow from the window's own words. Shared
-symbols reveal the places where repeats can be (the rounds of `repeats` count them), and what shares them is verified
-window by window under a 128-bit name of its words.
+A window's anchor is the least-named symbol among those whose bounds follow from the window's own words, or its least word
+if there is none. Recompression serves for that alone, in `ROUNDS` rounds. Repeats meet on a hash of the `CONTEXT` words beside the
+anchor (the rounds of `repeats` count them), and what shares it is verified window by window under a 128-bit name of its words.
 
 Edge cases: null text has no words; a document with fewer than `LENGTH` words stays whole; repeated rows are each
 other's copies; rows that share a doc_id keep their own results; other columns are ignored.
