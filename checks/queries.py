@@ -55,22 +55,22 @@ def _without_outage(ticks: DataFrame) -> DataFrame:
     return ticks.filter(~F.hour("event_time").between(6, 11))
 
 
-def _live(spark: SparkSession, sf_dir: str, since: datetime | None = None) -> DataFrame:
-    return tick_candles(_without_outage(_ticks(spark, sf_dir, since)))
+def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tick_candles(_without_outage(_ticks(spark, sf_dir)))
 
 
-def _bars(spark: SparkSession, sf_dir: str, since: datetime | None = None) -> DataFrame:
+def _bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly bars over all ticks."""
-    return tick_candles(_ticks(spark, sf_dir, since), "1 hour").select(*HOURLY_COLUMNS)
+    return tick_candles(_ticks(spark, sf_dir), "1 hour").select(*HOURLY_COLUMNS)
 
 
-def _backfill(spark: SparkSession, sf_dir: str, since: datetime | None = None) -> DataFrame:
+def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hourly bars and the half-past twins."""
     half_past = F.hour("candle_start").isin(5, 8)
     shifts = F.when(half_past, F.array(F.lit(0), F.lit(30))).otherwise(F.array(F.lit(0)))
     shift = F.make_dt_interval(mins=F.col("shift"))
     return (
-        _bars(spark, sf_dir, since)
+        _bars(spark, sf_dir)
         .withColumn("shift", F.explode(shifts))
         .withColumn("candle_start", F.col("candle_start") + shift)
         .withColumn("candle_end", F.col("candle_end") + shift)
@@ -390,7 +390,7 @@ def upsert_pair_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summaries as of three days. `view` has no data in the newest, the oldest is written last."""
     table = _tables(spark, "upsert_pair_analysis").summary.create(spark)
     for run, as_of in enumerate([CORRECTED_FROM, AS_OF, CORRECTED_FROM - 5 * DAY], start=1):
-        ticks = _ticks(spark, sf_dir, as_of - DAY, as_of)
+        ticks = _ticks(spark, sf_dir)
         if as_of == AS_OF:
             ticks = ticks.filter(F.col("symbol") != "view")
         live, bars = tick_candles(_without_outage(ticks)), tick_candles(ticks, "1 hour")
@@ -402,8 +402,7 @@ def upsert_pair_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
 def backfill_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The backfill job: stored live candles, loaded payloads, refreshed summary as of the 30th."""
     tables = _tables(spark, "backfill_refresh").create(spark)
-    since = FETCH_TO - DAY
-    tables.candles.upsert(_live(spark, sf_dir, since), run=1, batch_id=0)
+    tables.candles.upsert(_live(spark, sf_dir), run=1, batch_id=0)
     load_backfill(spark, _payloads(spark, sf_dir), tables, SYMBOLS, as_of=FETCH_TO, run=2)
     return to_ntz(tables.summary.read(spark).drop("updated_at"))
 
@@ -449,7 +448,7 @@ def stream_pair_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary that the stream refreshes, with backfill bars already stored."""
     root = work_dir(spark, "stream_pair_analysis")
     tables = MarketTables(f"{root}/tables").create(use_utc(spark))
-    tables.backfill.upsert(_backfill(spark, sf_dir, AS_OF - DAY), run=1, batch_id=0)
+    tables.backfill.upsert(_backfill(spark, sf_dir), run=1, batch_id=0)
     ticks = _without_outage(_event_stream(spark, sf_dir))
     _run(encode_ticks(ticks), tables, f"{root}/checkpoint", as_of=AS_OF)
     return to_ntz(tables.summary.read(spark).drop("updated_at"))
