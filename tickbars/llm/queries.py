@@ -12,6 +12,7 @@ from tickbars.llm.op7_simhash import op7_simhash
 from tickbars.llm.op8_substring_dedup import op8_substring_dedup
 from tickbars.llm.op9_archives import OP9_SQL, op9_archives
 from tickbars.llm.op10_mixing import OP10_SQL, op10_mixing
+from tickbars.llm.op11_conversations import OP11_SQL, op11_conversations
 
 QUERIES = {
     "op1_quality": op1_quality,
@@ -24,6 +25,13 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_archives": op9_archives,
     "op10_mixing": op10_mixing,
+    "op11_conversations": op11_conversations,
 }
 
-ORACLE = {"op2_exact_dedup": OP2_SQL, "op6_url_filter": OP6_SQL, "op9_archives": OP9_SQL, "op10_mixing": OP10_SQL}
+ORACLE = {
+    "op2_exact_dedup": OP2_SQL,
+    "op6_url_filter": OP6_SQL,
+    "op9_archives": OP9_SQL,
+    "op10_mixing": OP10_SQL,
+    "op11_conversations": OP11_SQL,
+}
