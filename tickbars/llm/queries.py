@@ -13,6 +13,7 @@ from tickbars.llm.op8_substring_dedup import op8_substring_dedup
 from tickbars.llm.op9_archives import OP9_SQL, op9_archives
 from tickbars.llm.op10_mixing import OP10_SQL, op10_mixing
 from tickbars.llm.op11_conversations import OP11_SQL, op11_conversations
+from tickbars.llm.op12_search import OP12_SQL, op12_search
 
 QUERIES = {
     "op1_quality": op1_quality,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_archives": op9_archives,
     "op10_mixing": op10_mixing,
     "op11_conversations": op11_conversations,
+    "op12_search": op12_search,
 }
 
 ORACLE = {
@@ -34,4 +36,5 @@ ORACLE = {
     "op9_archives": OP9_SQL,
     "op10_mixing": OP10_SQL,
     "op11_conversations": OP11_SQL,
+    "op12_search": OP12_SQL,
 }

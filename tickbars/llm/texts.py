@@ -98,10 +98,13 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 BYTE_LETTERS = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xA0761D6478BD642F))
 
 
-def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words [^\\x20\\x09-\\x0D]+ of all rows, and for each row the index of its first word (one more at the end)."""
+def word_spans(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words [^\\x20\\x09-\\x0D]+ of all rows, and for each row the index of its first word (one more at the end).
+
+    `between` tells for each byte whether it stands between words.
+    """
     n = len(data)
-    inside = ~_SPACE[data]
+    inside = ~between[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     edges = bounds[1:-1]
@@ -114,7 +117,7 @@ def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, bounds)
 
 
-def word_letters(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit value for each word, by its bytes and length."""
-    spans = Prefix(BYTE_LETTERS[data]).span(starts, ends)
+def word_letters(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """A 64-bit value for each word, by its bytes and length; `which` chooses one of two functions."""
+    spans = Prefix(BYTE_LETTERS[data], which).span(starts, ends)
     return mix(spans + (ends - starts).astype(np.uint64))
