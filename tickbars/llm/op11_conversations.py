@@ -359,7 +359,7 @@ def repair(rows: DataFrame, present: Column | None = None, chunk_rows: int = CHU
     A row for which `present` is false only names its conversation.
     """
     there = F.lit(True) if present is None else present
-    trimmed = F.rtrim("text", F.lit(SPACE))
+    trimmed = F.rtrim(F.coalesce("text", F.lit("")), F.lit(SPACE))
     fault = F.when(trimmed == "", BLANK).when(F.right(trimmed, F.lit(1)).isin(".", "!", "?"), FINE).otherwise(TRUNCATED)
     fields = [F.when(there, F.coalesce(n, F.lit(""))).alias(n) for n in ("role", "text")]
     checked = rows.select("conv_id", F.when(there, F.col("turn").cast("long")).alias("turn"), *fields, fault.alias("fault"), there.alias("present"))
