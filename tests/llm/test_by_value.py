@@ -21,4 +21,4 @@ def test_workers_without_the_repository(tmp_path):
     repo = str(Path(__file__).parents[2])
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", SCRIPT.format(repo=repo)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
-    assert done.stdout.count("True") == 12, done.stderr[-2000:]
+    assert done.stdout.count("True") == 13, done.stderr[-2000:]

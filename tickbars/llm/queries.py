@@ -14,6 +14,7 @@ from tickbars.llm.op9_archives import OP9_SQL, op9_archives
 from tickbars.llm.op10_mixing import OP10_SQL, op10_mixing
 from tickbars.llm.op11_conversations import OP11_SQL, op11_conversations
 from tickbars.llm.op12_search import OP12_SQL, op12_search
+from tickbars.llm.op13_token_counts import op13_token_counts
 
 QUERIES = {
     "op1_quality": op1_quality,
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_conversations": op11_conversations,
     "op12_search": op12_search,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLE = {
