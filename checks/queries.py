@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickbars.functions import instant, lookback_start, to_ntz
@@ -243,13 +243,14 @@ def tick_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trade_envelope_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per event: an envelope of two trades (the second without volume) and a ping."""
+    """Per event: an envelope of three trades (the second without volume, the third with a null one) and a ping."""
     millis = F.unix_millis("event_time")
     price = F.col("price").cast("double").cast("string")
     symbol = F.concat(F.lit('{"s":"'), "symbol", F.lit('","t":'))
     first = F.concat(symbol, millis.cast("string"), F.lit(',"p":'), price, F.lit(',"v":'), "volume", F.lit(".7}"))
     second = F.concat(symbol, (millis + 1).cast("string"), F.lit(',"p":"'), price, F.lit('"}'))
-    envelope = F.concat(F.lit('{"type":"trade","data":['), first, F.lit(","), second, F.lit("]}"))
+    third = F.concat(symbol, (millis + 2).cast("string"), F.lit(',"p":'), price, F.lit(',"v":null}'))
+    envelope = F.concat(F.lit('{"type":"trade","data":['), F.concat_ws(",", first, second, third), F.lit("]}"))
     # The ping carries data, which must not become a trade.
     ping = F.concat(F.lit('{"type":"ping","data":['), first, F.lit("]}"))
     messages = _ticks(spark, sf_dir).select(F.explode(F.array(envelope, ping)).alias("value"))
@@ -257,14 +258,20 @@ def trade_envelope_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelope_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per event one envelope, damaged by its volume: no JSON, data of another kind, a trade without price, or a good one."""
-    k = F.col("volume") % 4
+    """Per event one envelope, damaged by its volume: no JSON, data of another kind or null, a trade without price or with a null volume, or a good one."""
+    k = F.col("volume") % 6
     symbol = F.concat(F.lit('{"s":"'), "symbol", F.lit('","t":'), F.unix_millis("event_time").cast("string"))
+
+    def trade(rest: str) -> Column:
+        return F.concat(F.lit('{"type":"trade","data":['), symbol, F.lit(rest + "}]}"))
+
     value = (
         F.when(k == 0, F.concat(F.lit("garbage "), "symbol"))
         .when(k == 1, F.lit('{"type":"trade","data":"oops"}'))
-        .when(k == 2, F.concat(F.lit('{"type":"trade","data":['), symbol, F.lit(',"v":1}]}')))
-        .otherwise(F.concat(F.lit('{"type":"trade","data":['), symbol, F.lit(',"p":1,"v":1}]}')))
+        .when(k == 2, trade(',"v":1'))
+        .when(k == 3, trade(',"p":1,"v":null'))
+        .when(k == 4, F.lit('{"type":"trade","data":null}'))
+        .otherwise(trade(',"p":1,"v":1'))
     )
     ticks = decode_envelopes(_ticks(spark, sf_dir).select(value.alias("value")))
     return ticks.groupBy("symbol", F.coalesce(quality.REASON, F.lit("good")).alias("reason")).agg(F.count(F.lit(1)).alias("ticks"))
@@ -285,8 +292,8 @@ def compacted_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A vendor payload per symbol and day, so at most 24 bars each, with some damage.
 
-    The 15th failed and the 16th has no status. Opens at 03:00 and times at 04:00 are unreadable,
-    times at 05:00 carry an offset, and a volume of 0 is left out.
+    The 15th failed, the 16th has no status, the bars of the 17th are null and those of the 18th no list. Volumes at 02:00 are
+    null, opens at 03:00 and times at 04:00 unreadable, times at 05:00 carry an offset, and a volume of 0 is left out.
     """
     hour = F.hour("candle_start")
     text = F.date_format("candle_start", "yyyy-MM-dd HH:mm:ss")
@@ -294,7 +301,7 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(hour == 4, F.lit("soon")).when(hour == 5, F.concat(text, F.lit("+05:30"))).otherwise(text).alias("datetime"),
         F.when(hour == 3, F.lit("n/a")).otherwise(F.col("open_price").cast("string")).alias("open"),
         *(F.col(f"{n}_price").cast("string").alias(n) for n in ("high", "low", "close")),
-        F.when(F.col("volume") > 0, F.concat(F.col("volume").cast("string"), F.lit(".9"))).alias("volume"),
+        F.when(hour == 2, F.lit("null")).when(F.col("volume") > 0, F.concat(F.col("volume").cast("string"), F.lit(".9"))).alias("volume"),
     )
     day = F.dayofmonth("day")
     status = F.when(day == 15, F.lit("error")).when(day != 16, F.lit("ok")).alias("status")
@@ -302,7 +309,14 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         _bars(spark, sf_dir)
         .groupBy("symbol", F.to_date("candle_start").alias("day"))
         .agg(F.array_sort(F.collect_list(bar)).alias("values"))
-        .select("symbol", F.to_json(F.struct(status, "values")).alias("payload"))
+        .select(
+            "symbol",
+            F.when(day == 17, F.lit('{"status":"ok","values":null}'))
+            .when(day == 18, F.lit('{"status":"ok","values":"none"}'))
+            # Nulls aren't written, so those that must be stand as text until here.
+            .otherwise(F.replace(F.to_json(F.struct(status, "values")), F.lit('"null"'), F.lit("null")))
+            .alias("payload"),
+        )
     )
 
 

@@ -91,6 +91,14 @@ def test_envelopes(spark):
                     {"s": "B", "t": 1704067205125, "p": 3},
                     {"s": "C", "t": 1704067205125, "v": 1},
                     {"s": "D", "t": 1704067205125, "p": 1, "v": "many"},
+                    {"s": "E", "t": 1704067205125, "p": 1, "v": None},
+                    {"s": None, "t": 1704067205125, "p": 1, "v": 1},
+                    {"s": "F", "t": None, "p": None, "v": 1},
+                    {"s": "G", "t": "1704067205125", "p": 1, "v": 1},
+                    {"s": "H", "t": 10**30, "p": 1, "v": 1},
+                    None,
+                    {"s": "I", "t": 1704067205125.25, "p": [1], "v": 1},
+                    {"s": "J", "t": 1704067205125.25, "p": 1, "v": 1},
                 ],
             }
         ),
@@ -100,15 +108,34 @@ def test_envelopes(spark):
         ("A", wall("2024-01-01 00:00:05.123"), 1.25, 12, "finnhub"),
         ("A", wall("2024-01-01 00:00:05.124"), 2.5, -12, "finnhub"),
         ("B", wall("2024-01-01 00:00:05.125"), 3, 0, "finnhub"),
+        ("J", wall("2024-01-01 00:00:05.125250"), 1, 1, "finnhub"),
     ]
-    assert rows(rejected(decoded), "symbol", "reject_reason") == [(None, "undecodable"), ("C", "missing price"), ("D", "missing volume")]
-    assert rows(accepted(decoded), "seq") == [(4_000_000,), (4_000_001,), (4_000_002,)]
+    assert rows(rejected(decoded), "symbol", "reject_reason") == [
+        (None, "undecodable"),
+        ("C", "missing price"),
+        ("D", "missing volume"),
+        ("E", "null volume"),
+        (None, "null symbol"),
+        ("F", "null event_time"),
+        ("G", "missing event_time"),
+        ("H", "missing event_time"),
+        (None, "missing symbol"),
+        ("I", "missing price"),
+    ]
+    assert rows(accepted(decoded), "seq") == [(4_000_000,), (4_000_001,), (4_000_002,), (4_000_012,)]
+
+
+def test_messages_are_read_once_as_variants(spark, plan):
+    texts = plan(decode_envelopes(messages(spark, ["x"]))), plan(day_bars(payloads(spark, ("A", {"status": "ok"}))))
+    for text in texts:
+        physical = text.split("== Physical Plan ==")[1]
+        assert physical.count("parseJson(") == 1 and "from_json" not in physical
 
 
 def test_data_of_another_kind_is_refused(spark):
     values = ['{"type":"trade","data":"oops"}', '{"type":"trade","data":null}', '{"type":"trade","data":[]}', "null", None]
     decoded = decode_envelopes(messages(spark, values))
-    assert sorted(rows(decoded, "reject_reason")) == [("undecodable",), ("undecodable",), ("unreadable data",)]
+    assert sorted(rows(decoded, "reject_reason")) == [("null data",), ("undecodable",), ("undecodable",), ("unreadable data",)]
 
 
 def bar(start, volume="12.7", **changes):
@@ -163,6 +190,21 @@ def test_vendor_bars(spark):
     assert counts == {"A": 3, "B": 0, "C": 0, "D": 0, None: 3}
 
 
+def test_a_null_is_no_missing_field(spark):
+    """Python's `get` gives the default for a missing field alone."""
+    nulls = [{**bar(f"2024-01-01 {10 + i}:00:00"), name: None} for i, name in enumerate(("volume", "open", "close", "datetime"))]
+    source = payloads(
+        spark,
+        ("A", {"status": "ok", "values": [bar("2024-01-01 09:00:00", volume=None), *nulls, None]}),
+        ("B", {"status": "ok", "values": None}),
+        ("C", {"status": "ok", "values": {"datetime": "x"}}),
+        ("D", {"status": None}),
+    )
+    assert rows(day_bars(source), "symbol", "volume") == [("A", 0)]
+    assert rows(bar_rejects(source), "reject_reason") == [("null volume",), ("null open_price",), ("null close_price",), ("null candle_start",), ("bad candle_start",)]
+    assert rows(payload_rejects(source)) == [("B", "null values"), ("C", "unreadable values"), ("D", "status missing")]
+
+
 def test_payload_files_take_the_symbol_from_the_path(spark, tmp_path):
     for symbol in ("A", "B"):
         folder = tmp_path / f"symbol={symbol}"

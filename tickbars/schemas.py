@@ -39,35 +39,6 @@ TICK_JSON = T.StructType(
     ]
 )
 
-# Price and volume are read as text: both JSON numbers and numeric strings are accepted, and a
-# missing volume can be told from a malformed one.
-TRADE_ENVELOPE = T.StructType(
-    [
-        T.StructField("type", T.StringType()),
-        T.StructField(
-            "data",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("s", T.StringType()),
-                        T.StructField("t", T.LongType()),
-                        T.StructField("p", T.StringType()),
-                        T.StructField("v", T.StringType()),
-                    ]
-                )
-            ),
-        ),
-    ]
-)
-
-VENDOR_BAR = T.StructType(
-    [T.StructField(name, T.StringType()) for name in ("datetime", "open", "high", "low", "close", "volume")]
-)
-VENDOR_PAYLOAD = T.StructType(
-    [T.StructField("status", T.StringType()), T.StructField("values", T.ArrayType(VENDOR_BAR))]
-)
-
-
 @dataclass(frozen=True)
 class TableSpec:
     """A keyed table: typed columns, primary key, text limits, defaults, partition source.

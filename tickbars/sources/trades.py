@@ -5,45 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickbars.operators.quality import REASON, check_ticks
-from tickbars.schemas import LIVE_SOURCE, PRICE, TRADE_ENVELOPE
+from tickbars.operators.quality import REASON, check_ticks, first_reason
+from tickbars.schemas import LIVE_SOURCE, PRICE
+from tickbars.sources.variants import field, fields_null, is_number, value
 
 #: More trades than an envelope holds, so that offset and place make one number.
 ENVELOPE_TRADES = 1_000_000
 
+_FIELDS = {"s": "symbol", "t": "event_time", "p": "price", "v": "volume"}
+
 
 def decode_envelopes(messages: DataFrame) -> DataFrame:
     """One tick per trade, with `reject_reason` for trades that lack a usable field.
 
     Envelopes of any other type (pings, errors) and envelopes without data give no ticks. Text that is no envelope,
-    and trades whose data cannot be read, give one refused row. The time is in epoch milliseconds, the volume is
-    truncated to whole units and is 0 when missing. `seq` orders trades of one time: by the message's offset, if it
-    has one, and the place in the envelope.
+    and trades whose data is null or cannot be read, give one refused row. The time is in epoch milliseconds, the volume is
+    truncated to whole units and is 0 when missing; a null written out is refused in any field. `seq` orders trades of one time:
+    by the message's offset, if it has one, and the place in the envelope.
     """
-    text = F.col("value").cast("string")
-    envelope = F.from_json(text, TRADE_ENVELOPE)
     offset = F.col("offset") if "offset" in messages.columns else F.lit(None)
-    kind, data = F.col("envelope.type"), F.col("envelope.data")
+    parsed = messages.select(F.try_parse_json(F.col("value").cast("string")).alias("envelope"), F.coalesce(offset.cast("bigint"), F.lit(0)).alias("offset"))
+    envelope = F.col("envelope")
+    kind, given, data = value(envelope, "type", "string"), field(envelope, "data"), value(envelope, "data", "array<variant>")
     unreadable = (
         F.when(kind.isNull() & data.isNull(), F.lit("undecodable"))
-        # Only here is the text looked at again: the data is missing or of another kind.
-        .when((kind == "trade") & data.isNull() & F.get_json_object("text", "$.data").isNotNull(), F.lit("unreadable data"))
+        .when((kind == "trade") & F.is_variant_null(given), F.lit("null data"))
+        .when((kind == "trade") & given.isNotNull() & data.isNull(), F.lit("unreadable data"))
     )
-    parsed = messages.select(envelope.alias("envelope"), text.alias("text"), F.coalesce(offset.cast("bigint"), F.lit(0)).alias("offset"))
     # The type is tested inside the generator, so that the message is parsed once.
-    nothing = F.array(F.lit(None).cast(TRADE_ENVELOPE["data"].dataType.elementType))
+    nothing = F.array(F.lit(None).cast("variant"))
     trades = parsed.select("envelope", "offset", unreadable.alias("unreadable")).select(
         "offset", "unreadable", F.posexplode(F.when(F.col("unreadable").isNotNull(), nothing).when(kind == "trade", data)).alias("place", "trade")
     )
-    volume = F.coalesce(F.col("trade.v"), F.lit("0")).try_cast("double").try_cast("bigint")
+    trade = F.col("trade")
+    micros = (F.when(is_number(field(trade, "t")), value(trade, "t", "decimal(20,3)")) * 1000).try_cast("bigint")
+    volume = F.when(field(trade, "v").isNull(), F.lit(0).cast("bigint")).otherwise(value(trade, "v", "string").try_cast("double").try_cast("bigint"))
     fields = F.struct(
-        F.col("trade.s").alias("symbol"),
-        F.timestamp_millis("trade.t").alias("event_time"),
-        F.col("trade.p").try_cast("double").try_cast(PRICE).alias("price"),
+        value(trade, "s", "string").alias("symbol"),
+        F.timestamp_micros(micros).alias("event_time"),
+        value(trade, "p", "string").try_cast("double").try_cast(PRICE).alias("price"),
         volume.alias("volume"),
         F.lit(LIVE_SOURCE).alias("source"),
         (F.col("offset") * ENVELOPE_TRADES + F.col("place")).alias("seq"),
-        "unreadable",
+        F.coalesce("unreadable", first_reason(fields_null(trade, _FIELDS))).alias("unreadable"),
     )
     ticks = check_ticks(trades.select(F.inline(F.array(fields))))
     return ticks.withColumn(REASON, F.coalesce("unreadable", REASON)).drop("unreadable")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tickbars.operators.filters import starting_in
 from tickbars.operators.quality import REASON, accepted, first_reason, rejected
-from tickbars.schemas import BACKFILL_SOURCE, PRICE, VENDOR_PAYLOAD
+from tickbars.schemas import BACKFILL_SOURCE, PRICE
+from tickbars.sources.variants import field, fields_null, value
 
 
 def landed_payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -23,34 +24,47 @@ def landed_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def decode_payloads(payloads: DataFrame) -> DataFrame:
-    """(symbol, payload) -> (symbol, status, values)."""
-    return payloads.select("symbol", F.inline(F.array(F.from_json("payload", VENDOR_PAYLOAD))))
+    """(symbol, payload) -> (symbol, failed, values): why a payload is refused as a whole, and its bars as VARIANTs otherwise.
+
+    Without `values` it has no bars; a null written out, or anything but a list, is refused.
+    """
+    payload = F.col("payload")
+    status, given, values = value(payload, "status", "string"), field(payload, "values"), value(payload, "values", "array<variant>")
+    failed = (
+        F.when(~status.eqNullSafe("ok"), F.concat(F.lit("status "), F.coalesce(status, F.lit("missing"))))
+        .when(F.is_variant_null(given), F.lit("null values"))
+        .when(given.isNotNull() & values.isNull(), F.lit("unreadable values"))
+    )
+    fields = F.struct(failed.alias("failed"), F.when(status == "ok", values).alias("values"))
+    return payloads.select("symbol", F.try_parse_json("payload").alias("payload")).select("symbol", F.inline(F.array(fields)))
 
 
 def all_bars(payloads: DataFrame) -> DataFrame:
     """Bars of the payloads with status `ok`, cast to their types, with `reject_reason`.
 
     A payload whose status is not `ok`, is absent or cannot be read is one refused row without a `position`. An offset
-    in the datetime text is overwritten by UTC, not converted: a cast to TIMESTAMP_NTZ ignores it. A missing volume is 0.
+    in the datetime text is overwritten by UTC, not converted: a cast to TIMESTAMP_NTZ ignores it. A missing volume is 0;
+    a null written out is refused in any field.
     """
-    status = F.col("status")
-    failed = F.when(~status.eqNullSafe("ok"), F.concat(F.lit("status "), F.coalesce(status, F.lit("missing"))))
-    values = F.when(status == "ok", F.col("values"))
-    bars = decode_payloads(payloads).select("symbol", failed.alias("failed"), F.posexplode_outer(values).alias("position", "bar"))
+    bars = decode_payloads(payloads).select("symbol", "failed", F.posexplode_outer("values").alias("position", "bar"))
     bars = bars.filter(F.col("position").isNotNull() | F.col("failed").isNotNull())
-    prices = {f"{n}_price": F.col(f"bar.{n}").try_cast("double").try_cast(PRICE) for n in ("open", "high", "low", "close")}
-    start = F.col("bar.datetime").try_cast("timestamp_ntz").cast("timestamp")
+    bar = F.col("bar")
+    prices = {f"{n}_price": value(bar, n, "string").try_cast("double").try_cast(PRICE) for n in ("open", "high", "low", "close")}
+    start = value(bar, "datetime", "string").try_cast("timestamp_ntz").cast("timestamp")
+    volume = F.when(field(bar, "volume").isNull(), F.lit(0).cast("bigint")).otherwise(value(bar, "volume", "string").try_cast("double").try_cast("bigint"))
+    shown = {"datetime": "candle_start", **{n.removesuffix("_price"): n for n in prices}, "volume": "volume"}
     fields = F.struct(
-        F.col("bar.datetime").alias("datetime"),
+        value(bar, "datetime", "string").alias("datetime"),
         start.alias("candle_start"),
         (start + F.expr("INTERVAL 1 HOUR")).alias("candle_end"),
-        *(value.alias(name) for name, value in prices.items()),
-        F.coalesce("bar.volume", F.lit("0")).try_cast("double").try_cast("bigint").alias("volume"),
+        *(price.alias(name) for name, price in prices.items()),
+        volume.alias("volume"),
         F.lit(BACKFILL_SOURCE).alias("source"),
+        F.coalesce("failed", first_reason(fields_null(bar, shown))).alias("refused"),
     )
-    typed = bars.select("symbol", "failed", "position", F.inline(F.array(fields)))
+    typed = bars.select("symbol", "position", F.inline(F.array(fields)))
     checks = [(F.col(name).isNull(), f"bad {name}") for name in ["candle_start", *prices, "volume"]]
-    return typed.withColumn(REASON, F.coalesce("failed", first_reason(checks))).drop("failed")
+    return typed.withColumn(REASON, F.coalesce("refused", first_reason(checks))).drop("refused")
 
 
 def decode_bars(payloads: DataFrame, start: Column, end: Column) -> DataFrame:
