@@ -33,7 +33,7 @@ def test_summary_scans_only_its_day(spark, plan, tmp_path):
     live, bars = (t.read(spark, lookback_start(as_of), as_of) for t in (tables.candles, tables.backfill))
     text = plan(pair_analysis_24h(live, bars, as_of)).split("== Physical Plan ==")[1]
     assert text.count("GreaterThanOrEqual(candle_start,2024-01-30 00:00:00.0)") == text.count("FileScan") > 0
-    assert "LeftAnti" in text
+    assert "partial_bit_or(" in text
 
 
 def test_coverage_side_reads_keys_only(spark, plan):
@@ -48,5 +48,12 @@ def test_messages_are_parsed_once(spark, plan):
 
 def test_report_filter_reaches_the_scan(spark, plan):
     text = plan(QUERIES["volume_series"](spark, SF_DIR)).split("== Physical Plan ==")[1]
-    # One scan of each table.
-    assert text.count("EqualTo(event_type,purchase)") == text.count("FileScan") == 2
+    # One scan of each table, and one of the live minutes' keys.
+    assert text.count("EqualTo(event_type,purchase)") == text.count("FileScan") == 3
+
+
+@pytest.mark.parametrize("name", ["candlestick_series", "volume_series", "combined_hourly"])
+def test_coverage_is_a_mask(spark, plan, name):
+    text = plan(QUERIES[name](spark, SF_DIR)).split("== Physical Plan ==")[1]
+    assert "Window" not in text and "LeftAnti" not in text
+    assert "partial_bit_or(" in text

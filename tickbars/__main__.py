@@ -82,7 +82,7 @@ def _report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     since, until = reports.scan_range(args.from_epoch, args.to_epoch)
     series = reports.candlestick_series if args.name == "candlesticks" else reports.volume_series
     live, bars = (table.read(spark, since, until) for table in (tables.candles, tables.backfill))
-    return series(live, bars, args.symbol, args.from_epoch, args.to_epoch)
+    return series(live, bars, args.symbol, args.from_epoch, args.to_epoch, tables.candles.versions(spark, since, until))
 
 
 def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:

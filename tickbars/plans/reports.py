@@ -31,36 +31,41 @@ def scan_range(from_epoch: int, to_epoch: int) -> tuple[Column, Column]:
 
 
 def _selected_candles(
-    candles: DataFrame, backfill: DataFrame, symbol: str, from_epoch: int, to_epoch: int, columns: list[str]
+    candles: DataFrame, backfill: DataFrame, symbol: str, from_epoch: int, to_epoch: int, columns: list[str], coverage: DataFrame | None
 ) -> DataFrame:
     """Live minutes of a symbol plus its backfill hours without any live minute, both ends included.
 
     Live coverage is not limited to the range, but only hours that a bar of the range starts in
-    matter, so both tables are read once, over the whole hours around the range, and cut to it at the end.
+    matter, so it is read over the whole hours around the range.
     """
     start, end = F.timestamp_seconds(F.lit(from_epoch)), F.timestamp_seconds(F.lit(to_epoch))
     live, bars = (
-        starting_in(rows.filter(F.col("symbol") == symbol), *scan_range(from_epoch, to_epoch)).select("symbol", "candle_start", *columns)
+        starting_between(rows.filter(F.col("symbol") == symbol), start, end).select("symbol", "candle_start", *columns)
         for rows in (candles, backfill)
     )
-    return starting_between(live_and_uncovered(live, bars), start, end)
+    covering = (candles if coverage is None else coverage).filter(F.col("symbol") == symbol)
+    covering = starting_in(covering, *scan_range(from_epoch, to_epoch)).select("symbol", "candle_start")
+    return live_and_uncovered(live, bars, covering)
 
 
 def candlestick_series(
-    candles: DataFrame, backfill: DataFrame, symbol: str, from_epoch: int, to_epoch: int
+    candles: DataFrame, backfill: DataFrame, symbol: str, from_epoch: int, to_epoch: int, coverage: DataFrame | None = None
 ) -> DataFrame:
+    """`coverage`: any versions of the live minutes, from which covered hours are read instead."""
     prices = ["open_price", "high_price", "low_price", "close_price"]
     time: list[Column] = [F.col("candle_start").alias("time")]
     return (
-        _selected_candles(candles, backfill, symbol, from_epoch, to_epoch, prices)
+        _selected_candles(candles, backfill, symbol, from_epoch, to_epoch, prices, coverage)
         .select(*time, *(F.col(p).alias(p.removesuffix("_price")) for p in prices))
         .orderBy("time")
     )
 
 
-def volume_series(candles: DataFrame, backfill: DataFrame, symbol: str, from_epoch: int, to_epoch: int) -> DataFrame:
+def volume_series(
+    candles: DataFrame, backfill: DataFrame, symbol: str, from_epoch: int, to_epoch: int, coverage: DataFrame | None = None
+) -> DataFrame:
     return (
-        _selected_candles(candles, backfill, symbol, from_epoch, to_epoch, ["volume"])
+        _selected_candles(candles, backfill, symbol, from_epoch, to_epoch, ["volume"], coverage)
         .select(F.col("candle_start").alias("time"), F.col("volume").alias("value"))
         .orderBy("time")
     )
