@@ -146,10 +146,10 @@ def test_a_streams_files_stay_few(landing, spark, monkeypatch):
     monkeypatch.setattr(RunFiles, "LEAST", 2)
     for k in range(9):
         landing.land(("A", f"00:00:{10 + k}", 10 + k, 1), ("B", f"00:01:{10 + k}", 5, 2))
-    landing.run(files_per_batch=1, refresh=True, as_of="2024-01-01T12:00:00", merge_every=3)
+    landing.run(files_per_batch=1, refresh=True, as_of="2024-01-01T12:00:00", merge_every=3, keep_merged=0)
     got = rows(landing.tables.summary.read(spark), "symbol", "close_24h", "total_volume")
     assert sorted(got) == [("A", 18, 9), ("B", 5, 18)]
-    for table in (landing.tables.candles, landing.tables.summary):
+    for table in (landing.tables.candles, landing.tables.hours, landing.tables.summary):
         # Merged at batches 0, 3 and 6: the merged file of batch 6, those it came from, and two more batches.
         assert len(list(Path(table.path).rglob("*.parquet"))) <= 7
     landing.land(("A", "00:08:30", 50, 1))

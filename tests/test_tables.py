@@ -194,10 +194,10 @@ def test_merging_a_writers_files_changes_no_row(spark, table):
     for batch in range(1, RunFiles.LEAST + 1):
         table.upsert(one(spark, price=str(batch)).union(refused) if batch < 3 else one(spark, price=str(batch)), 1, batch)
     before, rejects = state(table, spark), table.rejects(spark).count()
-    files = RunFiles(table, 1)
+    files = RunFiles(table, 1, keep=0)
     listed = table.read(spark)
     assert files.merge(spark) == RunFiles.LEAST
-    # The merged files stay until the next merge, for readers that know only them.
+    # The merged files stay until a later merge, for readers that know only them.
     assert listed.count() == 3 and state(table, spark) == before
     held = len(data_files(table))
     assert files.merge(spark) == 0
@@ -212,8 +212,56 @@ def test_a_writer_that_died_after_merging_goes_on(spark, table):
     for batch in range(RunFiles.LEAST):
         table.upsert(one(spark, price=str(batch + 1)), 1, batch)
     before = state(table, spark)
-    RunFiles(table, 1).merge(spark)
-    again = RunFiles(table, 1)
+    RunFiles(table, 1, keep=0).merge(spark)
+    again = RunFiles(table, 1, keep=0)
     again.merge(spark)
     again.merge(spark)
     assert state(table, spark) == before and len(data_files(table)) == 1
+
+
+def test_merged_files_stay_for_long_readers(spark, table, monkeypatch):
+    """Each merge finds new files only, and deletes by age."""
+    now = [1000.0]
+    monkeypatch.setattr("time.monotonic", lambda: now[0])
+    monkeypatch.setattr(RunFiles, "LEAST", 2)
+    files = RunFiles(table, 1, keep=60)
+    table.upsert(one(spark, price="1"), 1, 0)
+    table.upsert(one(spark, price="2"), 1, 1)
+    assert files.merge(spark) == 2
+    listed = table.read(spark)
+    for batch in (2, 3):
+        now[0] += 30
+        table.upsert(one(spark, price=str(batch + 1)), 1, batch)
+        files.wrote([at(DAY1).date()])
+        # The merged file is one of those to merge next.
+        assert files.merge(spark) == 2
+    # At 60 s the first two are gone; those of the merges since are there.
+    assert len(data_files(table)) == 2 + 1 + 2
+    assert state(table, spark) == [("A", wall(DAY1), 4, 1)]
+    with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST|FileNotFound"):
+        listed.count()
+
+
+def test_a_read_lists_its_own_dates(spark, tmp_path, plan):
+    """Folders and files that a window needs don't grow with the table's other dates."""
+    table = KeyedTable(str(tmp_path / "c x"), CANDLES_1M)
+    bounds = instant(at("2024-01-02 00:00")), instant(at("2024-01-03 00:00"))
+    assert table.folders(spark) == [] and table.read(spark, *bounds).collect() == []
+    listed = []
+    for run, days in enumerate((range(1, 4), range(4, 29)), start=1):
+        starts = [candles(spark, [("A", f"2024-01-{d:02} 10:00:00", "1", "1", "1", "1", d)]) for d in days]
+        batch = starts[0]
+        for more in starts[1:]:
+            batch = batch.union(more)
+        refused = batch.withColumn("vwap", F.lit(None).cast("double"))
+        table.upsert(batch.coalesce(1), 1, run, files=1)
+        table.upsert(refused.coalesce(1), 1, run + 10, files=1)
+        window = table.versions(spark, *bounds)
+        listed.append((len(table.folders(spark, days=[at(f"2024-01-0{d} 00:00").date() for d in (2, 3)])), len(window.inputFiles())))
+        assert rows(table.read(spark, *bounds), "volume") == [(2,)]
+    assert listed == [(2, 2), (2, 2)]
+    assert table.read(spark).count() == 28 and table.rejects(spark).count() == 28
+    table.upsert(one(spark, DAY2, volume=77), 2, 0)
+    assert rows(table.read(spark, *bounds), "volume") == [(77,)]
+    # One open end: the dates aren't known, all are listed, and the filter prunes them.
+    assert table.read(spark, since=bounds[0]).count() == 27

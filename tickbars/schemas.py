@@ -107,6 +107,25 @@ CANDLES_1H_BACKFILL = TableSpec(
     date_of="candle_start",
 )
 
+# Hours of live minutes, derived from `candles_1m`: whoever began to read the minutes last has seen all that the others have.
+CANDLES_1H_LIVE = TableSpec(
+    name="candles_1h_live",
+    columns=_columns(
+        ("symbol", T.StringType()),
+        ("candle_start", T.TimestampType()),
+        ("candle_end", T.TimestampType()),
+        *_OHLC,
+        ("volume", T.LongType()),
+        ("updated_at", T.TimestampType()),
+    ),
+    key=("symbol", "candle_start"),
+    version=(("updated_at", 19), ("run", 13)),
+    limits={"symbol": 20},
+    # An hour's volume can exceed its type; the summary adds up the others.
+    nullable=("volume", "updated_at"),
+    date_of="candle_start",
+)
+
 # Two writers refresh the summary (stream and backfill), so its newest `updated_at` wins; the
 # writer's run only breaks a tie.
 PAIR_ANALYSIS_24H = TableSpec(

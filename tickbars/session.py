@@ -20,8 +20,12 @@ def get_session(app_name: str = "tickbars") -> SparkSession:
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Hours and dates are cut in the session zone, so every entry point pins it to UTC."""
+    """Hours and dates are cut in the session zone, so every entry point pins it to UTC.
+
+    Instants are stored as microseconds: the default kind has no statistics, so no time could be skipped in a file.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
 
 

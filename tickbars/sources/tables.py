@@ -9,15 +9,20 @@ backfill can write to one table at once. Below it time tables are split by `cand
 Rows that break a table rule are stored in the same write with a `reject_reason`, each by itself and below
 `refused=true`. Readers prune them, so one bad row neither fails the batch nor replaces a good row; compacting copies them.
 
+A reader names the folders it needs: those of the writers, and below them the dates of its window. It never lists the rest
+of the tree, so what it costs to plan a read doesn't grow with the table's age.
+
 A writer of many small batches merges its own files from time to time (`RunFiles`): the newest version of each key is
-written once more to the same folder, and the files it came from go at the next merge. A row that stands in both has one
-key and one version, so readers see the same table before, while and after.
+written once more to the same folder, and the files it came from go when they are old enough for any reader to have ended. A row
+that stands in both has one key and one version, so readers see the same table before, while and after.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterable
 from dataclasses import dataclass, field
-from urllib.parse import unquote
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +30,8 @@ from pyspark.sql import types as T
 
 from tickbars.functions import digit_order, latest_by_key
 from tickbars.operators.quality import REASON, accepted, check_rows, rejected
-from tickbars.schemas import CANDLES_1H_BACKFILL, CANDLES_1M, PAIR_ANALYSIS_24H, TableSpec
+from tickbars.schemas import CANDLES_1H_BACKFILL, CANDLES_1H_LIVE, CANDLES_1M, PAIR_ANALYSIS_24H, TableSpec
+from tickbars.session import use_utc
 
 _VERSION = [
     T.StructField(REASON, T.StringType()),
@@ -33,6 +39,19 @@ _VERSION = [
 ]
 
 
+def _listed(spark: SparkSession, folder: str) -> list[str]:
+    """Full names of what lies directly in a folder; none if it doesn't exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath().toString() for status in files.listStatus(path)] if files.exists(path) else []
+
+
+def _existing(spark: SparkSession, folders: Iterable[str]) -> list[str]:
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = {name: spark._jvm.org.apache.hadoop.fs.Path(name) for name in folders}
+    return [name for name, path in paths.items() if path.getFileSystem(configuration).exists(path)]
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     path: str
@@ -81,25 +100,53 @@ class KeyedTable:
         )
         self._write(stored, run, files)
 
-    def _write(self, stored: DataFrame, run: int, files: int | None) -> None:
+    def _write(self, stored: DataFrame, run: int, files: int | None, by_time: bool = False) -> None:
+        use_utc(stored.sparkSession)
         stored = stored.withColumn("refused", F.col(REASON).isNotNull())
         if self._split:
             stored = stored.withColumn("candle_date", F.to_date(self.spec.date_of))
-        stored = stored.hint("rebalance", *self._split) if files is None else stored.coalesce(files)
+        if by_time and self._split:
+            # Ranges of time, merged or not by size: the files of a large date hold different hours.
+            stored = stored.repartitionByRange("refused", "candle_date", self.spec.date_of)
+        else:
+            stored = stored.hint("rebalance", *self._split) if files is None else stored.coalesce(files)
         # Sorted files let row-group statistics skip other symbols and times.
         stored = stored.sortWithinPartitions("refused", *self._split, *self.spec.key)
         stored.write.mode("append").partitionBy("refused", *self._split).parquet(f"{self.path}/run={run}")
 
-    def _stored(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self._layout()).parquet(self.path)
+    def folders(self, spark: SparkSession, refused: bool = False, days: Iterable[date] | None = None) -> list[str]:
+        """The folders that hold good or refused rows, of all dates or of some. Only the writers' folders are listed."""
+        runs = [name for name in _listed(spark, self.path) if name.rpartition("/")[2].startswith("run=")]
+        below = [f"{name}/refused={str(refused).lower()}" for name in runs]
+        if days is not None and self._split:
+            below = [f"{name}/candle_date={day}" for name in below for day in days]
+        return _existing(spark, below)
+
+    def _stored(self, spark: SparkSession, refused: bool = False, days: Iterable[date] | None = None) -> DataFrame:
+        return self._of(spark, self.folders(spark, refused, days))
+
+    def _of(self, spark: SparkSession, names: list[str]) -> DataFrame:
+        layout = self._layout()
+        if not names:
+            return spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in layout.fields))
+        return spark.read.schema(layout).option("basePath", self.path).parquet(*names)
 
     def rejects(self, spark: SparkSession) -> DataFrame:
         """Refused rows of all writes, with the reason."""
-        return rejected(self._stored(spark).filter("refused")).drop("refused")
+        return rejected(self._stored(spark, refused=True)).drop("refused")
 
-    def versions(self, spark: SparkSession, since: Column | None = None, until: Column | None = None) -> DataFrame:
-        """All good stored versions with `run` and `batch_id`, pruned to dates of [since, until]."""
-        rows = accepted(self._stored(spark).filter("NOT refused")).drop("refused")
+    def versions(
+        self, spark: SparkSession, since: Column | None = None, until: Column | None = None, days: Iterable[date] | None = None
+    ) -> DataFrame:
+        """All good stored versions with `run` and `batch_id`, pruned to dates of [since, until].
+
+        With both bounds, or with `days`, the folders are known and nothing else is listed.
+        """
+        if days is None and since is not None and until is not None and self._split:
+            # Bounds are literals or arithmetic on them; this runs no job.
+            first, last = spark.sql("SELECT 1").select(F.to_date(since), F.to_date(until)).first()
+            days = [first + timedelta(n) for n in range((last - first).days + 1)]
+        rows = accepted(self._stored(spark, days=days).filter("NOT refused")).drop("refused")
         if since is not None:
             rows = rows.filter((F.col("candle_date") >= F.to_date(since)) & (F.col(self.spec.date_of) >= since))
         if until is not None:
@@ -108,7 +155,11 @@ class KeyedTable:
 
     def read(self, spark: SparkSession, since: Column | None = None, until: Column | None = None) -> DataFrame:
         """Current rows. For time tables, `since` / `until` (both inclusive) prune dates and row groups."""
-        return self._newest(self.versions(spark, since, until)).select(*self.spec.columns.fieldNames())
+        return self.current(self.versions(spark, since, until))
+
+    def current(self, versions: DataFrame) -> DataFrame:
+        """The newest of some versions of each key, with the table's columns."""
+        return self._newest(versions).select(*self.spec.columns.fieldNames())
 
     def _newest(self, versions: DataFrame) -> DataFrame:
         times = [f.name for f in self.spec.columns.fields if isinstance(f.dataType, T.TimestampType)]
@@ -130,43 +181,59 @@ class KeyedTable:
 class RunFiles:
     """The files of good rows that one writer has in a table, for that writer to merge between its batches.
 
-    A folder (a date) is merged once it holds `LEAST` files. What was merged is deleted by the next merge only, so that
-    readers who listed it can finish; a writer that dies in between leaves files that its next start merges again.
+    A folder (a date) is merged once it holds `LEAST` files that aren't merged yet. Merged files are deleted by the first merge that
+    finds them `keep` seconds old, which must exceed the longest report. A writer that dies in between leaves files that its next start
+    merges again. `wrote` tells which dates to look at; the first merge of a start, and one after dates unknown, looks at all of its own.
     """
 
     table: KeyedTable
     run: int
-    merged: list[str] = field(default_factory=list)
+    keep: float = 3600
+    merged: dict[str, float] = field(default_factory=dict)
+    days: set[date] | None = None
 
     LEAST = 16
 
+    def wrote(self, days: Iterable[date] | None) -> None:
+        if days is None:
+            self.days = None
+        elif self.days is not None:
+            self.days.update(days)
+
     def merge(self, spark: SparkSession) -> int:
         """Merge the crowded folders; the number of files merged."""
         self._delete(spark)
-        table = self.table
-        folders: dict[str, list[str]] = {}
-        # `inputFiles` knows no partition filter.
-        for name in map(unquote, table._stored(spark).inputFiles()):
-            if f"/run={self.run}/refused=false/" in name:
-                folders.setdefault(name.rpartition("/")[0], []).append(name)
-        crowded = [name for names in folders.values() if len(names) >= self.LEAST for name in names]
+        table, top = self.table, f"{self.table.path}/run={self.run}/refused=false"
+        if not table._split:
+            names = [top]
+        elif self.days is None:
+            names = [n for n in _listed(spark, top) if n.rpartition("/")[2].startswith("candle_date=")]
+        else:
+            names = [f"{top}/candle_date={day}" for day in sorted(self.days)]
+        files = {name: [f for f in _listed(spark, name) if f.endswith(".parquet") and f not in self.merged] for name in names}
+        crowded = [f for held in files.values() if len(held) >= self.LEAST for f in held]
+        if table._split:
+            # Dates with few files wait for more.
+            waiting = [name for name, held in files.items() if 1 < len(held) < self.LEAST]
+            self.days = {date.fromisoformat(name.rpartition("=")[2]) for name in waiting}
         if crowded:
-            own = spark.read.schema(table._layout()).option("basePath", table.path).parquet(*crowded)
-            table._write(table._newest(own.drop("refused", REASON)).withColumn(REASON, F.lit(None).cast("string")).drop("run"), self.run, None)
-            self.merged = crowded
+            own = table._of(spark, crowded)
+            table._write(table._newest(own.drop("refused", REASON)).withColumn(REASON, F.lit(None).cast("string")).drop("run"), self.run, None, by_time=True)
+            self.merged |= dict.fromkeys(crowded, time.monotonic())
         return len(crowded)
 
     def _delete(self, spark: SparkSession) -> None:
         hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-        for name in self.merged:
+        old = [name for name, since in self.merged.items() if time.monotonic() - since >= self.keep]
+        for name in old:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(hadoop).delete(path, False)
-        self.merged = []
+            del self.merged[name]
 
 
 @dataclass(frozen=True)
 class MarketTables:
-    """The three tables below one root folder."""
+    """The three tables below one root folder, and the hourly states that the summary's refresh keeps of the first."""
 
     root: str
 
@@ -178,6 +245,10 @@ class MarketTables:
     def backfill(self) -> KeyedTable:
         return KeyedTable(f"{self.root}/{CANDLES_1H_BACKFILL.name}", CANDLES_1H_BACKFILL)
 
+    @property
+    def hours(self) -> KeyedTable:
+        return KeyedTable(f"{self.root}/{CANDLES_1H_LIVE.name}", CANDLES_1H_LIVE)
+
     @property
     def summary(self) -> KeyedTable:
         return KeyedTable(f"{self.root}/{PAIR_ANALYSIS_24H.name}", PAIR_ANALYSIS_24H)

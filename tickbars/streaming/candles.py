@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import time
-from datetime import datetime
+from datetime import datetime, timezone
 from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tickbars.functions import instant, lookback_start
 from tickbars.operators.candles import tick_candles
 from tickbars.operators.quality import accepted, check_ticks, rejected
+from tickbars.plans.hours import rebuild_hours, refresh_hours
 from tickbars.plans.summary import refresh_summary
 from tickbars.schemas import TRIGGER_INTERVAL, WATERMARK
 from tickbars.sources.tables import MarketTables, RunFiles
@@ -23,6 +25,8 @@ FUTURE_TOLERANCE = "10 minutes"
 CANDLES_PER_FILE = 500_000
 # Micro-batches between merges of the stream's files: about half an hour of the 10 s trigger.
 MERGE_EVERY = 200
+# Seconds that merged files stay for readers that have listed them: more than the longest report takes.
+KEEP_MERGED = 3600
 
 
 def checked_ticks(messages: DataFrame, tolerance: str = FUTURE_TOLERANCE) -> DataFrame:
@@ -76,13 +80,15 @@ def start_candles(
     tolerance: str = FUTURE_TOLERANCE,
     candles_per_file: int = CANDLES_PER_FILE,
     merge_every: int = MERGE_EVERY,
+    keep_merged: float = KEEP_MERGED,
 ) -> StreamingQuery:
-    """Start the job: upsert every changed candle, then refresh the 24h summary.
+    """Start the job: upsert every changed candle, make the states of the changed hours anew, then refresh the 24h summary.
 
     Update mode emits the whole current candle, never a delta, so the newest row per key is right.
     Summary bounds follow the clock unless `as_of` is given. `state_partitions` is the shuffle width
     of the stream alone; it counts at the first start of a checkpoint and stays fixed after that. Every `merge_every`
-    batches the files that the stream wrote are merged, so a refresh reads a bounded number of them.
+    batches the files that the stream wrote are merged, so a refresh reads a bounded number of them; merged files stay for
+    `keep_merged` seconds. A start makes the hours of the trailing window anew, for what others have written since.
     """
     # Tables are read with this session: the one behind a micro-batch has adaptive execution off.
     spark = messages.sparkSession
@@ -91,8 +97,11 @@ def start_candles(
     else:
         tables.candles.create(spark)
     run = writer_run(spark, checkpoint)
-    written = [RunFiles(table, run) for table in ((tables.candles, tables.summary) if refresh else (tables.candles,))]
+    written = [RunFiles(table, run, keep_merged) for table in ((tables.candles, tables.hours, tables.summary) if refresh else (tables.candles,))]
     counted = count()
+    if refresh:
+        now = instant(datetime.now(timezone.utc) if as_of is None else as_of)
+        rebuild_hours(spark, tables, run, 0, lookback_start(now), now)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # Without this, each action would run the stateful plan again.
@@ -103,7 +112,9 @@ def start_candles(
                 return
             tables.candles.upsert(batch, run, batch_id, files=-(-changed // candles_per_file))
             if refresh:
-                refresh_summary(spark, tables, run, batch_id, as_of)
+                now = instant(datetime.now(timezone.utc) if as_of is None else as_of)
+                refresh_hours(spark, tables, batch, run, batch_id, lookback_start(now))
+                refresh_summary(spark, tables, run, batch_id, now, from_states=True)
             # The first batch of a start merges what an earlier start has left.
             if next(counted) % merge_every == 0:
                 for files in written:
