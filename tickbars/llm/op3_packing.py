@@ -218,7 +218,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
         shard = int(part["shard"].iloc[0])
         return part.drop(columns="shard").assign(sequence_id=np.array(bins) * shards + shard, offset=offsets)
 
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
+    # By place in the stored table, so that rows with one id, or none, are dealt like others.
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
     return dealt.groupBy("shard").applyInPandas(solve, f"{PIECES}, sequence_id long, offset long")
 
 

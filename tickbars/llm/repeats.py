@@ -117,11 +117,14 @@ def repeated_names(windows: DataFrame, name: str) -> DataFrame:
 
 
 def ranges_of(*starts: DataFrame) -> DataFrame:
-    """(row_key, ranges): the ranges of starts of each document; no more of them than it has windows."""
+    """(row_key, ranges): the ranges of starts of each document; no more of them than it has windows.
+
+    Equal rows share a key and give the same ranges, which are merged map-side.
+    """
     joined = starts[0]
     for more in starts[1:]:
         joined = joined.unionByName(more)
-    return joined.groupBy("row_key").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    return joined.groupBy("row_key").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
 
 
 def range_arrays(part: pa.Array) -> tuple[np.ndarray, ...]:
