@@ -8,6 +8,7 @@ Fixture choices, mirrored by `checks/oracle.py`:
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
@@ -20,7 +21,7 @@ from tickbars.operators.candles import tick_candles
 from tickbars.operators.coverage import HOURLY_COLUMNS, live_hours
 from tickbars.operators.filters import in_universe
 from tickbars.plans import reports, summary
-from tickbars.plans.backfill import load_backfill, load_summary
+from tickbars.plans.backfill import land_bars, load_backfill, load_summary, sorted_bars
 from tickbars.schemas import BACKFILL_SOURCE, CANDLES_1M
 from tickbars.session import use_utc, work_dir
 from tickbars.sources import vendor
@@ -29,6 +30,8 @@ from tickbars.sources.tables import MarketTables
 from tickbars.sources.ticks import decode_ticks, encode_ticks, landed_messages
 from tickbars.sources.trades import decode_envelopes
 from tickbars.streaming.candles import start_candles, start_rejects
+from tickbars.streaming.counts import METRIC
+from tickbars.streaming.state import open_windows
 
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 DAY = timedelta(days=1)
@@ -101,7 +104,7 @@ def live_hourly_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
 def backfill_hourly_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the stored table, pruned to the dates of the window."""
     table = _tables(spark, "backfill_hourly_24h").backfill.create(spark)
-    table.upsert(_backfill(spark, sf_dir), run=1, batch_id=0)
+    table.upsert(_backfill(spark, sf_dir), run=1, batch_id=0, unique=True)
     as_of = instant(AS_OF)
     return to_ntz(summary.backfill_hourly_24h(table.read(spark, lookback_start(as_of), as_of), as_of))
 
@@ -118,7 +121,7 @@ def pair_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the stored summary."""
     table = _tables(spark, "pair_report").summary.create(spark)
     rows = summary.pair_analysis_24h(*_last_day(spark, sf_dir), instant(AS_OF))
-    table.upsert(rows.withColumn("updated_at", instant(AS_OF)), run=1, batch_id=0)
+    table.upsert(rows.withColumn("updated_at", instant(AS_OF)), run=1, batch_id=0, unique=True)
     return to_ntz(reports.pair_report(table.read(spark)))
 
 
@@ -191,7 +194,7 @@ def summary_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = summary.pair_analysis_24h(_live(spark, sf_dir).filter(~error), bars, instant(OUTAGE_BOUND))
     table = _tables(spark, "summary_bounds").summary.create(spark)
-    table.upsert(rows, run=1, batch_id=0)
+    table.upsert(rows, run=1, batch_id=0, unique=True)
     good = table.read(spark).withColumn(quality.REASON, F.lit("good"))
     return to_ntz(good.unionByName(table.rejects(spark).select(*good.columns)).drop("updated_at"))
 
@@ -282,7 +285,7 @@ def compacted_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = _bars(spark, sf_dir).withColumn("close_price", F.when(F.col("volume") % 2 == 1, F.col("close_price")))
     table = _tables(spark, "compacted_rejects").backfill.create(spark)
     table.upsert(bars.withColumn("position", F.lit(1)), run=1, batch_id=0, order_by=F.col("position"))
-    table.upsert(bars, run=2, batch_id=0)
+    table.upsert(bars, run=2, batch_id=0, unique=True)
     target = table.compact(spark, f"{table.path}-compacted")
     kept = target.read(spark).select("symbol", F.lit("good").alias("reason"))
     refused = target.rejects(spark).select("symbol", F.col(quality.REASON).alias("reason"))
@@ -334,6 +337,13 @@ def backfill_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_summary(bars, [*SYMBOLS, "refund"])
 
 
+def backfill_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pass that lands the bars has counted."""
+    bars = sorted_bars(vendor.all_bars(_payloads(spark, sf_dir)), instant(FETCH_FROM), instant(FETCH_TO))
+    observed = land_bars(bars, work_dir(use_utc(spark), "backfill_load_counts"))
+    return spark.createDataFrame(sorted(observed.items()), "kind STRING, found BIGINT")
+
+
 def table_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candles of five hours of the day break one table rule each."""
     hour = F.hour("candle_start")
@@ -369,15 +379,15 @@ def _tables(spark: SparkSession, name: str) -> MarketTables:
 def upsert_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live candles, then corrected candles of all hours since the 16th, then that batch again."""
     table = _tables(spark, "upsert_candles").candles.create(spark)
-    table.upsert(_live(spark, sf_dir), run=1, batch_id=0)
+    table.upsert(_live(spark, sf_dir), run=1, batch_id=0, unique=True)
     corrected = (
         tick_candles(_ticks(spark, sf_dir, since=CORRECTED_FROM))
         .withColumn("volume", F.col("volume") + 1)
         .withColumn("close_price", (F.col("close_price") + 1).cast("decimal(18,6)"))
     )
     for _ in range(2):
-        table.upsert(corrected, run=1, batch_id=1)
-    table.upsert(corrected.limit(0), run=1, batch_id=2)
+        table.upsert(corrected, run=1, batch_id=1, unique=True)
+    table.upsert(corrected.limit(0), run=1, batch_id=2, unique=True)
     return to_ntz(table.read(spark).drop("updated_at"))
 
 
@@ -396,7 +406,7 @@ def upsert_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("volume", F.col("volume") + 5)
         .withColumn("source", F.lit(BACKFILL_SOURCE))
     )
-    table.upsert(afternoon, run=2, batch_id=0)
+    table.upsert(afternoon, run=2, batch_id=0, unique=True)
     return to_ntz(table.read(spark).drop("updated_at"))
 
 
@@ -409,14 +419,35 @@ def upsert_pair_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
             ticks = ticks.filter(F.col("symbol") != "view")
         live, bars = tick_candles(_without_outage(ticks)), tick_candles(ticks, "1 hour")
         rows = summary.pair_analysis_24h(live, bars, instant(as_of))
-        table.upsert(rows.withColumn("updated_at", instant(as_of)), run, 0)
+        table.upsert(rows.withColumn("updated_at", instant(as_of)), run, 0, unique=True)
     return to_ntz(table.read(spark))
 
 
+def upsert_doubled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks of an hour taken for its bar: of several rows with one key in a batch the one with the greatest hash of its content is stored."""
+    ticks = _on_the_hour(spark, sf_dir).select(
+        "symbol",
+        F.col("event_time").alias("candle_start"),
+        (F.col("event_time") + F.expr("INTERVAL 1 HOUR")).alias("candle_end"),
+        *(F.col("price").alias(f"{n}_price") for n in ("open", "high", "low", "close")),
+        "volume",
+        F.lit(BACKFILL_SOURCE).alias("source"),
+    )
+    table = _tables(spark, "upsert_doubled").backfill
+    table.upsert(ticks, run=1, batch_id=0)
+    stored, again = table.read(spark).drop("updated_at"), _tables(spark, "upsert_doubled").backfill
+    # The same rows, dealt otherwise.
+    again.upsert(ticks.repartition(7, "volume"), run=1, batch_id=0)
+    both = stored.unionByName(again.read(spark).drop("updated_at"))
+    return both.groupBy("symbol", F.col("candle_start").cast("timestamp_ntz").alias("candle_start")).agg(
+        F.count(F.lit(1)).alias("stored"), F.count_distinct("open_price", "volume").alias("different")
+    )
+
+
 def backfill_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The backfill job: stored live candles, loaded payloads, refreshed summary as of the 30th."""
     tables = _tables(spark, "backfill_refresh").create(spark)
-    tables.candles.upsert(_live(spark, sf_dir), run=1, batch_id=0)
+    tables.candles.upsert(_live(spark, sf_dir), run=1, batch_id=0, unique=True)
     load_backfill(spark, _payloads(spark, sf_dir), tables, SYMBOLS, as_of=FETCH_TO, run=2)
     return to_ntz(tables.summary.read(spark).drop("updated_at"))
 
@@ -462,7 +493,7 @@ def stream_pair_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary that the stream refreshes, with backfill bars already stored."""
     root = work_dir(spark, "stream_pair_analysis")
     tables = MarketTables(f"{root}/tables").create(use_utc(spark))
-    tables.backfill.upsert(_backfill(spark, sf_dir), run=1, batch_id=0)
+    tables.backfill.upsert(_backfill(spark, sf_dir), run=1, batch_id=0, unique=True)
     ticks = _without_outage(_event_stream(spark, sf_dir))
     _run(encode_ticks(ticks), tables, f"{root}/checkpoint", as_of=AS_OF)
     return to_ntz(tables.summary.read(spark).drop("updated_at"))
@@ -497,6 +528,35 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn(quality.REASON, F.lit("good")).unionByName(refused)
 
 
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream's own counts of a topic in which one message of five is garbage and one lacks its volume."""
+    root = work_dir(spark, "stream_counts")
+    kind = F.col("seq") % 5
+    ticks = _event_stream(spark, sf_dir)
+    messages = encode_ticks(ticks.withColumn("volume", F.when(kind != 1, F.col("volume"))))
+    garbage = F.when(F.col("offset") % 5 == 0, F.lit("garbage").cast("binary")).otherwise(F.col("value").cast("binary"))
+    query = start_candles(messages.withColumn("value", garbage), MarketTables(f"{root}/tables"), f"{root}/checkpoint", available_now=True, refresh=False)
+    query.awaitTermination()
+    total: Counter = Counter()
+    for progress in query.recentProgress:
+        total.update(progress.observedMetrics[METRIC].asDict() if METRIC in progress.observedMetrics else {})
+    return spark.createDataFrame([(reason, n) for reason, n in total.items() if n], "outcome STRING, ticks BIGINT")
+
+
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows in the state after the first half of the ticks, and after a restart with the rest."""
+    root = work_dir(spark, "stream_open_windows")
+    tables, found = MarketTables(f"{root}/tables"), []
+    for part, (since, until) in enumerate([(None, CORRECTED_FROM), (CORRECTED_FROM, None)], start=1):
+        encode_ticks(_ticks(spark, sf_dir, since, until)).write.mode("append").parquet(f"{root}/messages")
+        _run(landed_messages(spark, f"{root}/messages"), tables, f"{root}/checkpoint", refresh=False)
+        held = open_windows(spark, f"{root}/checkpoint").drop("state_partition").withColumn("part", F.lit(part))
+        # Later batches replace the state's files.
+        held.write.parquet(f"{root}/part{part}")
+        found.append(spark.read.schema(held.schema).parquet(f"{root}/part{part}"))
+    return to_ntz(found[0].unionByName(found[1]))
+
+
 def _land_and_run(spark: SparkSession, slices: list[DataFrame], name: str) -> DataFrame:
     """Land each slice of ticks as message files and run the stream over it, on one checkpoint."""
     root = work_dir(spark, name)
@@ -568,4 +628,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_late_data": stream_late_data,
     "stream_triggered": stream_triggered,
     "stream_rejects": stream_rejects,
+    "upsert_doubled": upsert_doubled,
+    "backfill_load_counts": backfill_load_counts,
+    "stream_counts": stream_counts,
+    "stream_open_windows": stream_open_windows,
 }

@@ -38,7 +38,7 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
     assert "AAPL" in capsys.readouterr().out
     counts = spark.read.parquet(f"{tables}/backfill_runs/*/counts")
     assert {r.symbol: r.loaded_rows for r in counts.collect()} == {"AAPL": 2, "MSFT": 0, "TSLA": 0, "NVDA": 0, "AMZN": 0, None: 2}
-    assert rows(spark.read.parquet(f"{tables}/backfill_runs/*/rejects"), "symbol", "reject_reason") == [("AAPL", "status error")]
+    assert rows(spark.read.parquet(f"{tables}/backfill_runs/*/bars/kind=refused"), "symbol", "reject_reason") == [("AAPL", "status error")]
     assert rows(stored.backfill.read(spark).groupBy("symbol").count()) == [("AAPL", 2)]
     # 10:05 is live, so only the 09:00 bar fills in.
     assert rows(stored.summary.read(spark), "symbol", "open_24h", "close_24h", "total_volume") == [("AAPL", 100, 101, 8)]

@@ -137,7 +137,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "backfill":
         payloads = vendor.landed_payloads(spark, args.payloads)
         result = load_backfill(spark, payloads, MarketTables(args.tables), args.symbols, args.as_of)
-        print(f"counts and rejects are stored below {args.tables}/backfill_runs; the first of them:")
+        print(f"counts and rejects are stored below {args.tables}/backfill_runs: {result.observed}; the first of them:")
         result.counts.orderBy("symbol").show(truncate=False)
         result.rejects.show(truncate=False)
     elif args.job == "report":

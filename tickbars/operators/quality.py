@@ -12,6 +12,10 @@ from tickbars.schemas import TableSpec
 
 REASON = "reject_reason"
 
+_REQUIRED = ("symbol", "event_time", "price", "volume")
+#: All reasons of `check_ticks`.
+TICK_REASONS = ("undecodable", *(f"missing {name}" for name in _REQUIRED), "event_time out of range")
+
 
 def first_reason(checks: Sequence[tuple[Column, str]]) -> Column:
     """The label of the first check that fails the row, else null. A null check does not fail."""
@@ -32,12 +36,11 @@ def check_ticks(ticks: DataFrame, latest: Column | None = None) -> DataFrame:
     A tick from beyond `latest` is refused because it would drive the event-time watermark into
     the future and every later tick would then be dropped as late.
     """
-    required = ["symbol", "event_time", "price", "volume"]
     nothing = F.lit(True)
-    for name in required:
+    for name in _REQUIRED:
         nothing = nothing & F.col(name).isNull()
     checks = [(nothing, "undecodable")]
-    checks += [(F.col(name).isNull(), f"missing {name}") for name in required]
+    checks += [(F.col(name).isNull(), f"missing {name}") for name in _REQUIRED]
     if latest is not None:
         checks.append((F.col("event_time") > latest, "event_time out of range"))
     return ticks.withColumn(REASON, first_reason(checks))

@@ -52,7 +52,7 @@ def refresh_hours(
     last = hour_of(F.lit(max(r["last"] for r in found))) + F.expr("INTERVAL 1 HOUR")
     days = sorted(r["day"] for r in found)
     minutes = minutes_of_hours(spark, tables, changed_hours(candles), days, first, last)
-    tables.hours.upsert(hourly_candles(minutes).withColumn("updated_at", read_at), run, batch_id, files=1 if len(days) == 1 else None)
+    tables.hours.upsert(hourly_candles(minutes).withColumn("updated_at", read_at), run, batch_id, files=1 if len(days) == 1 else None, unique=True)
     return days
 
 
@@ -61,7 +61,7 @@ def rebuild_hours(spark: SparkSession, tables: MarketTables, run: int, batch_id:
     read_at = F.lit(datetime.now(timezone.utc))
     minutes = tables.candles.read(spark, hour_of(since), hour_of(until) + F.expr("INTERVAL 1 HOUR"))
     whole = starting_in(minutes, hour_of(since), hour_of(until) + F.expr("INTERVAL 1 HOUR"))
-    tables.hours.upsert(hourly_candles(whole).withColumn("updated_at", read_at), run, batch_id)
+    tables.hours.upsert(hourly_candles(whole).withColumn("updated_at", read_at), run, batch_id, unique=True)
 
 
 def stored_hourly_24h(spark: SparkSession, tables: MarketTables, as_of: Column) -> DataFrame:

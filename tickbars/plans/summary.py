@@ -54,6 +54,6 @@ def refresh_summary(
     try:
         bars = backfill_hourly_24h(tables.backfill.read(spark, since, as_of), as_of)
         summary = with_price_change(symbol_rollup(combined_hourly(live, bars)))
-        tables.summary.upsert(summary.withColumn("updated_at", F.current_timestamp()), run, batch_id)
+        tables.summary.upsert(summary.withColumn("updated_at", F.current_timestamp()), run, batch_id, unique=True)
     finally:
         live.unpersist()

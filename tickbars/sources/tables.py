@@ -28,11 +28,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickbars.functions import digit_order, latest_by_key
+from tickbars.functions import digit_order, latest_by_key, pair_order
 from tickbars.operators.quality import REASON, accepted, check_rows, rejected
 from tickbars.schemas import CANDLES_1H_BACKFILL, CANDLES_1H_LIVE, CANDLES_1M, PAIR_ANALYSIS_24H, TableSpec
 from tickbars.session import use_utc
 
+# A file of a micro-batch holds some of the symbols, from the whole alphabet, once each: neither its least and greatest symbol nor a
+# dictionary tells that another is absent. Some 12 KB for each row group do.
+_BLOOM = {"parquet.bloom.filter.enabled#symbol": "true", "parquet.bloom.filter.expected.ndv#symbol": "10000"}
+
 _VERSION = [
     T.StructField(REASON, T.StringType()),
     T.StructField("batch_id", T.LongType()),
@@ -73,22 +77,31 @@ class KeyedTable:
         return T.StructType([*self.spec.columns.fields, *_VERSION, *split])
 
     def upsert(
-        self, rows: DataFrame, run: int, batch_id: int, order_by: Column | None = None, files: int | None = None
+        self,
+        rows: DataFrame,
+        run: int,
+        batch_id: int,
+        order_by: Column | None = None,
+        files: int | None = None,
+        unique: bool = False,
     ) -> None:
         """Insert the rows, replacing the stored row of an equal key.
 
-        `run` is the start time of the writer (> 0), `batch_id` counts its writes.
-        Two writers of a table need different runs. Rows must be unique by key unless `order_by` (never null) is
-        given; then the last good row per key wins, and refused rows are all kept. Output files are sized at run time, which also splits a large date over several
-        tasks; for a batch of known size, `files` skips that shuffle.
+        `run` is the start time of the writer (> 0), `batch_id` counts its writes. Two writers of a table need different runs.
+        Of the good rows of a batch with one key, the last by `order_by` (a whole number, never null) is stored; equal ones, or all without
+        it, are ordered by a hash of their content, so the same one wins in every run, however the rows are dealt. Refused rows are
+        all kept. `unique` skips this: the rows come grouped by key. Output files are sized at run time, which also splits a large date
+        over several tasks; for a batch of known size, `files` skips that shuffle.
         """
         if not (0 <= run < 10**13 and 0 <= batch_id < 10**9):
             raise ValueError("run is in epoch milliseconds and batch_id below a billion")
         checked = check_rows(rows, self.spec)
-        if order_by is not None:
+        if not unique:
             # A refused row is its own key, so it neither meets nor hides another.
             each = F.when(F.col(REASON).isNotNull(), F.monotonically_increasing_id())
-            checked = latest_by_key(checked.withColumn("refused_row", each), [*self.spec.key, REASON, "refused_row"], order_by)
+            content = F.pmod(F.xxhash64(*self.spec.columns.fieldNames()), F.lit(10**18))
+            order = pair_order(F.lit(0) if order_by is None else order_by, content)
+            checked = latest_by_key(checked.withColumn("refused_row", each), [*self.spec.key, REASON, "refused_row"], order)
         self._append(checked, run, batch_id, files)
 
     def _append(self, checked: DataFrame, run: int, batch_id: int, files: int | None = None) -> None:
@@ -112,7 +125,10 @@ class KeyedTable:
             stored = stored.hint("rebalance", *self._split) if files is None else stored.coalesce(files)
         # Sorted files let row-group statistics skip other symbols and times.
         stored = stored.sortWithinPartitions("refused", *self._split, *self.spec.key)
-        stored.write.mode("append").partitionBy("refused", *self._split).parquet(f"{self.path}/run={run}")
+        writer = stored.write.mode("append").partitionBy("refused", *self._split)
+        for name, value in _BLOOM.items():
+            writer = writer.option(name, value)
+        writer.parquet(f"{self.path}/run={run}")
 
     def folders(self, spark: SparkSession, refused: bool = False, days: Iterable[date] | None = None) -> list[str]:
         """The folders that hold good or refused rows, of all dates or of some. Only the writers' folders are listed."""

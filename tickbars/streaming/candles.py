@@ -18,6 +18,7 @@ from tickbars.plans.summary import refresh_summary
 from tickbars.schemas import TRIGGER_INTERVAL, WATERMARK
 from tickbars.sources.tables import MarketTables, RunFiles
 from tickbars.sources.ticks import decode_ticks
+from tickbars.streaming.counts import counted_ticks
 
 FUTURE_TOLERANCE = "10 minutes"
 # A micro-batch changes few candles per state partition; one file each would flood the table. The session behind a
@@ -47,7 +48,7 @@ def streaming_candles(messages: DataFrame, watermark: str = WATERMARK, tolerance
     A tick is dropped once its whole window lies behind the watermark, so a finished candle is
     never replaced by a partial one.
     """
-    return tick_candles(accepted(checked_ticks(messages, tolerance)).withWatermark("event_time", watermark))
+    return tick_candles(accepted(counted_ticks(checked_ticks(messages, tolerance))).withWatermark("event_time", watermark))
 
 
 def writer_run(spark: SparkSession, checkpoint: str) -> int:
@@ -110,7 +111,7 @@ def start_candles(
             changed = batch.count()
             if changed == 0:
                 return
-            tables.candles.upsert(batch, run, batch_id, files=-(-changed // candles_per_file))
+            tables.candles.upsert(batch, run, batch_id, files=-(-changed // candles_per_file), unique=True)
             if refresh:
                 now = instant(datetime.now(timezone.utc) if as_of is None else as_of)
                 refresh_hours(spark, tables, batch, run, batch_id, lookback_start(now))
