@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import brute
 from tickbars.llm import op1_quality, op5_language
-from tickbars.llm.samples import least_by_hash
+from tickbars.llm.samples import least_by_hash, slice_by_hash
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -25,8 +25,73 @@ def test_viterbi_is_the_best_labelling():
 def test_training_tells_two_kinds_of_lines_apart():
     pick = np.random.default_rng(2)
     lines = [np.eye(op1_quality.N_FEATURES, dtype=np.float32)[pick.integers(0, 4, 6) + 4 * (k % 2)] for k in range(40)]
-    field = op1_quality.LineField.train(lines, [k % 2 for k in range(40)])
-    assert all(op1_quality.viterbi(s @ field.weights, field.moves) == [k % 2] * 6 for k, s in enumerate(lines))
+    marks = [[k % 2] * 6 for k in range(40)]
+    field = op1_quality.LineField.train(lines, marks)
+    assert all(op1_quality.viterbi(s @ field.weights, field.moves) == m for s, m in zip(lines, marks))
+
+
+def test_a_change_of_kinds_within_a_text_is_found(spark):
+    """Junk under content: the lines' labels change once, about where the texts meet, and the share follows."""
+    docs, labels = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "labels"))
+    field = op1_quality.trained_field(docs, labels)
+    of = {q: [r["text"] for r in docs.join(labels.filter(F.col("quality") == q), "doc_id").orderBy("doc_id").collect() if r["text"]] for q in (0, 1)}
+    found = []
+    for junk, good in zip(of[0], of[1]):
+        parts = [op1_quality.Lines(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())])) for t in (junk, good, f"{good}\n{junk}")]
+        alone, both = [field.content(p, 1)[0] / p.count.sum() for p in parts[:2]], field.content(parts[2], 1)[0]
+        if alone == [0, 1]:
+            found.append(abs(both - parts[1].count.sum()) / parts[2].count.sum())
+    assert len(found) > 20 and np.mean(np.array(found) < 0.1) > 0.9
+
+
+def test_kept_is_the_share_of_the_best_labelling(spark):
+    """Against all labellings of short texts, from the features of single lines."""
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    field = op1_quality.trained_field(docs, labels)
+    rows = [r for r in docs.select("doc_id", "text").collect() if r["text"] and 0 < r["text"].count("\n") < 10]
+    got = {r["doc_id"]: r["_quality"] for r in op1_quality.judged(docs.select("doc_id", "text"), field).collect()}
+    assert len(rows) > 20
+    for r in rows:
+        data = np.frombuffer(r["text"].encode(), np.uint8)
+        lines = op1_quality.Lines(data, np.array([0, len(data)]))
+        scores = lines.features @ field.weights
+        best = max(itertools.product((0, 1), repeat=len(scores)), key=lambda y: sum(scores[k, v] for k, v in enumerate(y)) + sum(field.moves[a, b] for a, b in zip(y, y[1:])))
+        words = sum(n * v for n, v in zip(lines.count.tolist(), best))
+        q = got[r["doc_id"]]
+        assert q["content_words"] == words and q["kept"] == (not q["base_failed"] and 2 * words >= q["n_words"])
+
+
+def test_net_against_plain_python():
+    """The forward pass, one window, filter and place at a time."""
+    pick = np.random.default_rng(3)
+    texts = [b"abc", b"the cat sat" * 30, bytes(range(1, 256)) * 2]
+    bounds = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    tables = [pick.normal(size=(span, 256, op5_language.FILTERS)).astype(np.float32) for span in op5_language.SPANS]
+    bias = pick.normal(size=(len(tables), op5_language.FILTERS)).astype(np.float32)
+    net = op5_language.ByteNet(["a", "b", "c"], tables, bias, pick.normal(size=(len(tables) * op5_language.FILTERS + 1, 3)).astype(np.float32))
+    which, score = net.predict(np.frombuffer(b"".join(texts), np.uint8), bounds)
+    for row, text in enumerate(texts):
+        mean = [0.0] * 3
+        for at in range(0, len(text), op5_language.WIDTH):
+            part = text[at : at + op5_language.WIDTH]
+            window = part.ljust(op5_language.WIDTH, b"\0")
+            pooled = []
+            for table, b in zip(tables, bias):
+                for f in range(op5_language.FILTERS):
+                    best = max(sum(float(table[k][window[i + k]][f]) for k in range(len(table))) for i in range(len(window) - len(table) + 1))
+                    pooled.append(max(best + float(b[f]), 0.0))
+            scores = [sum(p * float(net.out[j][c]) for j, p in enumerate(pooled)) + float(net.out[-1][c]) for c in range(3)]
+            odds = np.exp(np.array(scores) - max(scores))
+            mean = [m + o * len(part) / len(text) for m, o in zip(mean, odds / odds.sum())]
+        assert which[row] == int(np.argmax(mean)) and abs(score[row] - max(mean)) < 1e-4
+
+
+def test_slices_come_from_anywhere(spark):
+    text = "".join(chr(97 + i % 26) for i in range(5000))
+    df = spark.createDataFrame([(i, text) for i in range(40)] + [(100, "short"), (None, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r["s"] for r in df.select("doc_id", slice_by_hash("text", "doc_id", 100).alias("s")).collect()}
+    assert got[100] == "short" and got[None] is None
+    assert all(len(got[i]) == 100 and got[i] in text for i in range(40)) and len({got[i][0] for i in range(40)}) > 10
 
 
 def test_base_measures(spark):

@@ -6,8 +6,9 @@ its words stand in content lines and the base rule holds: 10 words or more, and
 windows that the text repeats.
 
 The field is trained here, by gradient ascent on the exact likelihood: every line of a labelled document takes the
-document's quality label. Training reads at most `SAMPLE` documents of each label, those least by hash among documents of up to
-`SAMPLE_CHARS` characters. Without labels of both kinds all lines count as content.
+document's quality label, and documents of both labels are also joined in pairs, so that a sequence can change from one to the other.
+Training reads at most `SAMPLE` documents of each label, those least by hash, of each `SAMPLE_CHARS` characters from a place chosen
+by hash, and 4 * `SAMPLE` rows at most where ids repeat. Without labels of both kinds all lines count as content.
 
 Edge cases: a null or empty text, or one without words, has no lines and fails the base rule; repeated rows are judged
 each alike; a doc_id that `labels` repeats counts with its least label; extra columns are carried, whatever their
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbars.llm.samples import least_by_hash
+from tickbars.llm.samples import least_by_hash, slice_by_hash
 from tickbars.llm.texts import BYTE_LETTERS, Prefix, mix, text_chunks, word_letters, word_spans
 
 CONTENT_SHARE = 0.5
@@ -172,19 +173,21 @@ class LineField:
         return cls(np.tile([0.0, 1.0], (N_FEATURES, 1)), np.zeros((2, 2)))
 
     @classmethod
-    def train(cls, sequences: list[np.ndarray], labels: list[int], steps: int = STEPS, rate: float = 0.1, decay: float = 1e-3) -> LineField:
-        """Adam on the mean log-likelihood of sequences whose lines all have one label."""
+    def train(cls, sequences: list[np.ndarray], labels: list[list[int]], steps: int = STEPS, rate: float = 0.1, decay: float = 1e-3) -> LineField:
+        """Adam on the mean log-likelihood of the labels of the sequences' lines; those of one label, of the other and of both weigh alike."""
         order = sorted(range(len(sequences)), key=lambda k: -len(sequences[k]))
-        sequences, gold = [sequences[k] for k in order], np.array([labels[k] for k in order])
+        sequences, gold = [sequences[k] for k in order], np.concatenate([labels[k] for k in order])
+        kind = np.array([labels[k][0] if len(set(labels[k])) == 1 else 2 for k in order])
         size = np.array([len(s) for s in sequences])
         n, longest = len(size), int(size.max())
         here = np.arange(longest)[:, None] < size[None, :]
         lines = np.concatenate(sequences).astype(float)
         column = np.repeat(np.arange(n), size)
         place = np.arange(len(lines)) - np.repeat(np.cumsum(size) - size, size)
-        balance = 1.0 / np.maximum(np.bincount(gold, minlength=2), 1)[gold]
+        balance = 1.0 / np.maximum(np.bincount(kind, minlength=3), 1)[kind]
         weight = balance / size / balance.sum()
-        true = np.eye(2)[gold]
+        true = np.zeros((longest, n, 2))
+        true[place, column] = np.eye(2)[gold]
         theta = np.zeros(N_FEATURES * 2 + 4)
         slow, fast = np.zeros_like(theta), np.zeros_like(theta)
         alive = here.sum(1)
@@ -202,14 +205,14 @@ class LineField:
                 behind[t, :k] = np.logaddexp.reduce(moves + (scores[t + 1, :k] + behind[t + 1, :k])[:, None, :], axis=2)
             whole = np.logaddexp.reduce(ahead[size - 1, np.arange(n)], axis=1)
             odds = np.exp(np.clip(ahead + behind - whole[None, :, None], -50, 0))
-            gap = (true[None] - odds)[place, column] * weight[column, None]
+            gap = (true - odds)[place, column] * weight[column, None]
             slope = np.empty_like(theta)
             slope[:-4] = (lines.T @ gap).ravel()
             pairs = np.zeros((2, 2))
             for t in range(1, longest):
                 k = alive[t]
                 both = np.exp(np.clip(ahead[t - 1, :k, :, None] + moves + (scores[t, :k] + behind[t, :k])[:, None, :] - whole[:k, None, None], -50, 0))
-                pairs += np.einsum("n,nab->ab", weight[:k], true[:k, :, None] * true[:k, None, :] - both)
+                pairs += np.einsum("n,nab->ab", weight[:k], true[t - 1, :k, :, None] * true[t, :k, None, :] - both)
             slope[-4:] = pairs.ravel()
             slope -= decay * theta
             slow, fast = 0.9 * slow + 0.1 * slope, 0.99 * fast + 0.01 * slope**2
@@ -230,20 +233,27 @@ class LineField:
 def trained_field(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineField:
     """Fit on a bounded sample: `sample` documents of each quality label, least by hash; their ids are broadcast."""
     marked = labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    sized = docs.select("doc_id", F.length("text").alias("size")).filter(F.col("size").between(1, SAMPLE_CHARS)).join(marked, "doc_id")
+    sized = docs.filter(F.length("text") > 0).select("doc_id").join(marked, "doc_id")
     picked = least_by_hash(sized.select("doc_id", "quality"), "quality", sample)
-    found = docs.select("doc_id", "text").filter(F.length("text").between(1, SAMPLE_CHARS)).join(F.broadcast(picked.distinct()), "doc_id")
+    texts = docs.filter(F.length("text") > 0).select("doc_id", slice_by_hash("text", "doc_id", SAMPLE_CHARS).alias("text"))
+    found = texts.join(F.broadcast(picked.distinct()), "doc_id")
     found = found.distinct().orderBy(F.xxhash64("text"), "doc_id", "text", "quality").limit(4 * sample)
     rows = sorted((r["text"], r["quality"]) for r in found.collect())
-    sequences, marks = [], []
+    of: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
     for text, quality in rows:
         data = np.frombuffer(text.encode(), np.uint8)
         features = Lines(data, np.array([0, len(data)])).features
         if len(features):
-            sequences.append(features)
-            marks.append(int(quality))
-    if len(set(marks)) < 2:
+            of[int(quality)].append(features)
+    if not (of[0] and of[1]):
         return LineField.untrained()
+    sequences = [*of[0], *of[1]]
+    marks = [[mark] * len(s) for mark in (0, 1) for s in of[mark]]
+    # Documents have one label, pages have both kinds of lines: pairs in either order show the field where one kind ends.
+    for k, pair in enumerate(zip(*of)):
+        order = (0, 1) if k % 2 else (1, 0)
+        sequences.append(np.concatenate([pair[i] for i in order]))
+        marks.append([i for i in order for _ in range(len(pair[i]))])
     return LineField.train(sequences, marks)
 
 

@@ -5,7 +5,7 @@ each window, the greatest response of each is kept, and a softmax layer gives th
 mean of its windows', by their bytes; every window of every text counts.
 
 Training reads only text and lang of documents that aren't held out (crc32 of doc_id mod 5 is not 0), at most `SAMPLE` of
-each language, least by hash, and `SAMPLE_BYTES` from the start of each.
+each language, least by hash, and of each `SAMPLE_CHARS` characters from a place chosen by hash.
 
 Edge cases: a null text, or one without a letter, is `und` with score 0; so is everything if there is nothing to learn
 from; a null doc_id counts as held out; repeated rows are predicted each alike; other columns are ignored.
@@ -21,14 +21,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbars.llm.samples import least_by_hash
+from tickbars.llm.samples import least_by_hash, slice_by_hash
 from tickbars.llm.texts import text_chunks
 
 WIDTH = 256
 SPANS = (2, 3, 4)
 FILTERS = 8
 SAMPLE = 300
-SAMPLE_BYTES = 4 * WIDTH
+SAMPLE_CHARS = 4 * WIDTH
 EPOCHS = 12
 UNKNOWN = "und"
 CHUNK = 1 << 18
@@ -132,13 +132,13 @@ def trained_net(docs: DataFrame, sample: int = SAMPLE) -> ByteNet | None:
     """Fit on a bounded sample of labelled rows that aren't held out, their ids broadcast; None without any."""
     learnable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     picked = least_by_hash(learnable.select("doc_id", "lang"), "lang", sample)
-    texts = learnable.select("doc_id", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
+    texts = learnable.select("doc_id", slice_by_hash("text", "doc_id", SAMPLE_CHARS).alias("text"))
     rows = sorted((r["lang"], r["doc_id"], r["text"]) for r in texts.join(F.broadcast(picked.distinct()), "doc_id").distinct().collect())
     languages = sorted({r[0] for r in rows if _LETTER.search(r[2])})
     cells, labels = [], []
     for lang, _, text in rows:
         if lang in languages and _LETTER.search(text):
-            data = np.frombuffer(text.encode()[:SAMPLE_BYTES], np.uint8)
+            data = np.frombuffer(text.encode(), np.uint8)
             found = windows_of(data, np.array([0, len(data)]))[0]
             cells.append(found)
             labels += [languages.index(lang)] * len(found)
