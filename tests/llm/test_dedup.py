@@ -53,6 +53,18 @@ def test_components_of_random_graphs(spark):
     assert components(spark.createDataFrame([], "u long, v long"), "test").collect() == []
 
 
+@pytest.mark.parametrize(("distance", "blocks"), [(3, 5), (3, 4), (2, 6)])
+def test_each_close_pair_comes_once(spark, distance, blocks):
+    pick = random.Random(9)
+    held = {pick.getrandbits(64) for _ in range(30)}
+    for base in list(held):
+        held |= {base ^ sum(1 << b for b in pick.sample(range(64), pick.randrange(6))) for _ in range(6)}
+    signed = sorted(f - (1 << 64) if f >> 63 else f for f in held)
+    got = [tuple(r) for r in op7_simhash.links(spark.createDataFrame([(f,) for f in signed], "fingerprint long"), distance, blocks).collect()]
+    want = [(u, v) for i, u in enumerate(signed) for v in signed[i + 1 :] if ((u ^ v) & (2**64 - 1)).bit_count() <= distance]
+    assert sorted(got) == want and len(want) > 100
+
+
 def test_fingerprint():
     for text in ("", "one", "One two", "A b C d a B c D " * 9, "é È x\u0085y   z", "word " * 70_000):
         assert op7_simhash.fingerprint(text.encode()) % 2**64 == brute.fingerprint(text)

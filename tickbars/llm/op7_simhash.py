@@ -64,25 +64,31 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select("_near_row", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "_near_row long, doc_id long, fingerprint long")
 
 
-def block_keys(fingerprint: Column, distance: int = DISTANCE, blocks: int = BLOCKS) -> Column:
-    """An array of (choice, bits) for all choices of the blocks that a close pair must share."""
+def choices(distance: int = DISTANCE, blocks: int = BLOCKS) -> list[int]:
+    """The bits of each choice of blocks that a close pair must share one of, as signed numbers."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
     masks = [((1 << b) - (1 << a)) for a, b in zip(edges, edges[1:])]
-    keys = []
-    for k, chosen in enumerate(combinations(masks, blocks - distance)):
-        mask = sum(chosen)
-        bits = fingerprint.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
-        keys.append(F.struct(F.lit(k).alias("choice"), bits.alias("bits")))
+    return [m - (1 << 64) if m >> 63 else m for m in map(sum, combinations(masks, blocks - distance))]
+
+
+def block_keys(fingerprint: Column, distance: int = DISTANCE, blocks: int = BLOCKS) -> Column:
+    """An array of (choice, bits) for all choices of the blocks that a close pair must share."""
+    keys = [F.struct(F.lit(k).alias("choice"), fingerprint.bitwiseAND(F.lit(mask)).alias("bits")) for k, mask in enumerate(choices(distance, blocks))]
     return F.array(*keys)
 
 
 def links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
-    """(u, v) fingerprints at no more than `distance` bits. prints: distinct fingerprints."""
+    """(u, v) fingerprints at no more than `distance` bits. prints: distinct fingerprints.
+
+    A pair may share several choices; it comes from the first of them alone, so each pair comes once.
+    """
     keyed = prints.select("fingerprint", F.explode(block_keys(F.col("fingerprint"), distance, blocks)).alias("key"))
     keyed = keyed.select("fingerprint", "key.choice", "key.bits")
     left, right = keyed.withColumnRenamed("fingerprint", "u"), keyed.withColumnRenamed("fingerprint", "v")
-    close = (F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance)
-    return left.join(right, (left["choice"] == right["choice"]) & (left["bits"] == right["bits"]) & close).select("u", "v").distinct()
+    differing = F.col("u").bitwiseXOR(F.col("v"))
+    close = (F.col("u") < F.col("v")) & (F.bit_count(differing) <= distance)
+    first = F.coalesce(*(F.when(differing.bitwiseAND(F.lit(mask)) == 0, F.lit(k)) for k, mask in enumerate(choices(distance, blocks))))
+    return left.join(right, (left["choice"] == right["choice"]) & (left["bits"] == right["bits"]) & close & (left["choice"] == first)).select("u", "v")
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
