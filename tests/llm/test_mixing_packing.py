@@ -25,9 +25,9 @@ def sources(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, source string, words int")
 
 
-@pytest.mark.parametrize("range_rows", [20_000, 7])
-def test_mix(sources, range_rows):
-    got = op10_mixing.mix(sources, range_rows)
+@pytest.mark.parametrize(("range_rows", "block_ranges"), [(20_000, 4096), (7, 4096), (7, 2), (1, 3)])
+def test_mix(sources, range_rows, block_ranges):
+    got = op10_mixing.mix(sources, range_rows, block_ranges)
     assert got.columns[:4] == sources.columns
     columns = ["doc_id", "_mix_words", "_mix_size", F.round("_mix_target", 6), "_mix_taken"]
     rows = result(got.select(*columns))
