@@ -62,7 +62,8 @@ def test_each_close_pair_comes_once(spark, distance, blocks):
     signed = sorted(f - (1 << 64) if f >> 63 else f for f in held)
     got = [tuple(r) for r in op7_simhash.links(spark.createDataFrame([(f,) for f in signed], "fingerprint long"), distance, blocks).collect()]
     want = [(u, v) for i, u in enumerate(signed) for v in signed[i + 1 :] if ((u ^ v) & (2**64 - 1)).bit_count() <= distance]
-    assert sorted(got) == want and len(want) > 100
+    assert sorted(got) == want
+    assert len(want) > 40
 
 
 def test_fingerprint():
