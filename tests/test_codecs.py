@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from tickbars.functions import instant
 from tickbars.operators.quality import accepted, check_ticks, rejected
 from tickbars.plans.backfill import load_summary
-from tickbars.sources.ticks import decode_ticks, encode_ticks, topic_messages
+from tickbars.sources.ticks import decode_ticks, encode_ticks, topic_columns, topic_messages, topic_options
 from tickbars.sources.trades import decode_envelopes
 from tickbars.sources.vendor import bar_rejects, decode_bars, landed_payloads, payload_rejects
+from tickbars.streaming.candles import checked_ticks
+from tickbars.streaming.publish import sink_options
 
 
 def messages(spark, values):
@@ -214,6 +216,21 @@ def test_payload_files_take_the_symbol_from_the_path(spark, tmp_path):
     assert sorted(rows(got, "symbol", "volume")) == [("A", 12), ("B", 12)]
 
 
+def test_topic_options_and_columns(spark):
+    """The connector's own names, and records of the schema that it gives, without a broker."""
+    assert topic_options("host:9092") == {"kafka.bootstrap.servers": "host:9092", "subscribe": "market_ticks", "startingOffsets": "latest"}
+    assert topic_options("h", "t", "earliest", 10)["maxOffsetsPerTrigger"] == "10"
+    assert sink_options("host:9092") == {"kafka.bootstrap.servers": "host:9092", "topic": "market_ticks"}
+    sent = encode_ticks(ticks(spark, [("A", "2024-01-01 00:00:05", "1.5", 3, 8)]))
+    # A sink takes a key and a value, both binary or text.
+    assert {sent.schema[name].dataType.simpleString() for name in ("key", "value")} == {"binary"}
+    records = sent.select("key", "value", F.lit("market_ticks").alias("topic"), F.lit(0).alias("partition"), "offset", F.to_timestamp(F.lit("2024-01-01 00:00:06")).alias("timestamp"), F.lit(0).alias("timestampType"))
+    got = checked_ticks(topic_columns(records))
+    assert rows(got, "symbol", "price", "volume", "seq", "reject_reason") == [("A", 1.5, 3, 8, None)]
+    late = checked_ticks(topic_columns(records.withColumn("timestamp", F.to_timestamp(F.lit("2023-12-31 23:00:00")))))
+    assert rows(late, "reject_reason") == [("event_time out of range",)]
+
+
 def test_topic_source_asks_for_kafka(spark):
     """The connector is not installed here; the reader must get as far as looking for it."""
     with pytest.raises(AnalysisException, match="(?i)kafka"):

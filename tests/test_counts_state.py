@@ -85,9 +85,9 @@ def test_state_before_and_after_a_restart(spark, tmp_path):
 def test_a_doubled_key_gives_one_row_in_every_run(spark, tmp_path, ordered):
     held = candles(spark, [("A", "2024-01-01 10:00:00", str(p), str(p), str(p), str(p), v) for p in range(1, 30) for v in (1, 2)])
     found = set()
-    for n in range(10 if ordered else 20):
+    for n in range(5 if ordered else 20):
         table = KeyedTable(str(tmp_path / str(n)), CANDLES_1M)
-        dealt = held.orderBy(F.rand(n)).repartition(1 + n % 5)
+        dealt = held.orderBy(F.rand(n)).repartition(1 + n % 3)
         table.upsert(dealt, 1, 0, order_by=F.col("volume") if ordered else None, files=1)
         assert table.versions(spark).count() == 1
         found |= set(rows(table.read(spark), "close_price", "volume"))

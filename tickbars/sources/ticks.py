@@ -14,6 +14,19 @@ _TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 _FILE_TIME = "_metadata.file_modification_time AS arrived"
 
 
+def topic_options(servers: str, topic: str = TICK_TOPIC, starting_offsets: str = "latest", max_per_batch: int | None = None) -> dict[str, str]:
+    """What the reader of a topic is told."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting_offsets}
+    if max_per_batch is not None:
+        options["maxOffsetsPerTrigger"] = str(max_per_batch)
+    return options
+
+
+def topic_columns(records: DataFrame) -> DataFrame:
+    """A topic's records as messages; they arrived when the topic says."""
+    return records.select("key", "value", "offset", F.col("timestamp").alias("arrived"))
+
+
 def topic_messages(
     spark: SparkSession,
     servers: str,
@@ -25,15 +38,7 @@ def topic_messages(
 
     `max_per_batch` bounds a micro-batch when the stream has to catch up.
     """
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting_offsets)
-    )
-    if max_per_batch is not None:
-        reader = reader.option("maxOffsetsPerTrigger", max_per_batch)
-    return reader.load().select("key", "value", "offset", F.col("timestamp").alias("arrived"))
+    return topic_columns(spark.readStream.format("kafka").options(**topic_options(servers, topic, starting_offsets, max_per_batch)).load())
 
 
 def landed_messages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:

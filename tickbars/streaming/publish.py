@@ -19,6 +19,11 @@ def tick_messages(envelopes: DataFrame, symbols: list[str] | None = None) -> Dat
     return encode_ticks(ticks)
 
 
+def sink_options(servers: str, topic: str = TICK_TOPIC) -> dict[str, str]:
+    """What the writer to a topic is told."""
+    return {"kafka.bootstrap.servers": servers, "topic": topic}
+
+
 def start_publish(
     envelopes: DataFrame,
     checkpoint: str,
@@ -38,7 +43,7 @@ def start_publish(
         .option("checkpointLocation", checkpoint)
     )
     if servers is not None:
-        writer = writer.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
+        writer = writer.format("kafka").options(**sink_options(servers, topic))
     else:
         writer = writer.format("parquet").option("path", path)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER_INTERVAL)).start()
