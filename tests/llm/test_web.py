@@ -124,3 +124,24 @@ def test_warc_record():
     (headers, block), = op9_archives.warc_records(raw)
     assert headers["warc-date"] == "2024-01-02T03:04:05Z" and headers["warc-type"] == "response" and block.endswith(b"ab")
     assert headers["warc-record-id"] == op9_archives.record_id(3, "http://h/", "aa" * 20)
+
+
+def test_revisits_name_their_response(spark, tmp_path):
+    """By the standard's headers; each file begins with what wrote it."""
+    html = "x" * 2000
+    rows = [(1, "http://a/1", html), (2, "http://b/2", html), (9, "http://c/9", html), (4, "http://d/4", "short")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    op9_archives.write_arc(pages, str(tmp_path / "arc"))
+    op9_archives.write_warc(op9_archives.read_arc(spark, str(tmp_path / "arc")), str(tmp_path / "warc"))
+    files = [op9_archives._unpacked(r["content"]) for r in op9_archives._files(spark, str(tmp_path / "warc")).collect()]
+    records = [list(op9_archives.warc_records(f)) for f in files if f]
+    assert all(held[0][0]["warc-type"] == "warcinfo" and held[0][1].startswith(b"software:") for held in records)
+    headers = {h["x-page-id"]: h for held in records for h, _ in held[1:]}
+    assert {k: h["warc-type"] for k, h in headers.items()} == {"1": "revisit", "2": "revisit", "9": "response", "4": "response"}
+    ids = [h["warc-record-id"] for held in records for h, _ in held]
+    assert len(set(ids)) == len(ids)
+    for page in "12":
+        assert headers[page]["warc-refers-to"] == headers["9"]["warc-record-id"]
+        assert headers[page]["warc-refers-to-target-uri"] == "http://c/9"
+        assert headers[page]["warc-refers-to-date"] == headers["9"]["warc-date"] == "2024-01-01T00:00:00Z"
+    assert "warc-refers-to" not in headers["4"]

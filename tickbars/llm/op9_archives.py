@@ -3,7 +3,8 @@
 `write_arc` lands pages as ARC files: a version block, then for each page a header line and a network document of the
 declared length. `read_arc` parses the header line by the version that the file declares and takes the declared number
 of bytes. `write_warc` synthesises each record's identifier (a name-based UUID), timestamp, type and digests; of equal payloads of
-`LEAST_BYTES` or more, the one with the largest page_id is the response and the others are revisits that refer to it.
+`LEAST_BYTES` or more, the one with the largest page_id is the response and the others are revisits that refer to its record, address and
+time. Each file begins with a warcinfo record.
 `read_warc` reads the records back by their declared lengths and checks each response's digest against its payload.
 
 Spark writes and reads all files, so they can be in any store. A file holds at most `FILE_RECORDS` records.
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -156,22 +158,46 @@ def record_id(page_id: int | None, url: str, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url} {digest}')}>"
 
 
-def warc_record(page_id: int | None, url: str, captured: str, content_type: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def _date(captured: str) -> str:
+    return re.sub(r"(....)(..)(..)(..)(..)(..).*", r"\1-\2-\3T\4:\5:\6Z", captured)
+
+
+def warc_info(file: str) -> bytes:
+    """The record that begins a file and says what wrote it."""
+    block = b"software: tickbars\r\nformat: WARC File Format 1.1\r\n"
+    lines = [
+        "WARC/1.1",
+        "WARC-Type: warcinfo",
+        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, file)}>",
+        f"WARC-Date: {_date(CAPTURED)}",
+        "Content-Type: application/warc-fields",
+        f"Content-Length: {len(block)}",
+    ]
+    return "\r\n".join([*lines, "", ""]).encode() + block
+
+
+def warc_record(page_id: int | None, url: str, captured: str, content_type: str, payload: bytes, digest: str, refers_to: dict | None) -> bytes:
+    """`refers_to`: page_id, url and captured of the response that has the payload."""
     head = f"HTTP/1.0 200 OK\r\nContent-Type: {content_type}\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = head if refers_to is not None else head + payload
-    date = re.sub(r"(....)(..)(..)(..)(..)(..).*", r"\1-\2-\3T\4:\5:\6Z", captured)
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
         f"WARC-Record-ID: {record_id(page_id, url, digest)}",
-        f"WARC-Date: {date}",
+        f"WARC-Date: {_date(captured)}",
         f"WARC-Target-URI: {url}",
         f"WARC-Payload-Digest: {_base32(digest)}",
         f"WARC-Block-Digest: {_base32(hashlib.sha1(block).hexdigest())}",
         f"X-Page-Id: {'' if page_id is None else page_id}",
     ]
     if refers_to is not None:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page-Id: {refers_to}"]
+        lines += [
+            "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
+            f"WARC-Refers-To: {record_id(refers_to['page_id'], refers_to['url'], digest)}",
+            f"WARC-Refers-To-Target-URI: {refers_to['url']}",
+            f"WARC-Refers-To-Date: {_date(refers_to['captured'])}",
+            f"X-Refers-To-Page-Id: {refers_to['page_id']}",
+        ]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]
     return "\r\n".join(lines).encode() + block
 
@@ -180,16 +206,23 @@ def write_warc(records: DataFrame, path: str, least_bytes: int = LEAST_BYTES) ->
     """records: RECORDS. Payloads are UTF-8."""
     records = records.withColumns({"digest": F.sha1("payload"), "size": F.octet_length("payload")})
     large = records.filter(F.col("size") >= least_bytes)
-    firsts = large.groupBy("digest", "size").agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1 and first is not null")
+    firsts = large.groupBy("digest", "size").agg(F.max(F.struct("page_id", "url", "captured")).alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = firsts.filter("n > 1 and first.page_id is not null")
     typed = records.join(firsts.select("digest", "size", "first"), ["digest", "size"], "left")
-    typed = typed.withColumn("refers_to", F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first")))
+    typed = typed.withColumn("refers_to", F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first.page_id")), F.col("first")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        placed = 0
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
-                rows = zip(*(c.to_pylist() for c in batch.slice(at, 200).columns))
-                lines = pa.array([warc_record(*row) for row in rows], pa.binary())
-                yield pa.RecordBatch.from_arrays([lines.cast(pa.string())], ["value"])
+                lines = []
+                for row in zip(*(c.to_pylist() for c in batch.slice(at, 200).columns)):
+                    if placed % FILE_RECORDS == 0:
+                        lines.append(warc_info(f"{TaskContext.get().partitionId()} {placed}"))
+                        placed += 1
+                    lines.append(warc_record(*row))
+                    placed += 1
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary()).cast(pa.string())], ["value"])
 
     values = typed.select("page_id", "url", "captured", "content_type", "payload", "digest", "refers_to").mapInArrow(run, "value string")
     values.write.options(**_SPEED, lineSep="\r\n\r\n").text(path)
@@ -220,6 +253,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             for content in batch.column(0):
                 rows: list[tuple] = []
                 for headers, block in warc_records(_unpacked(content.as_py())):
+                    if headers["warc-type"] == "warcinfo":
+                        continue
                     http, payload = _http_headers(block)
                     digest = base64.b32decode(headers["warc-payload-digest"].removeprefix("sha1:")).hex()
                     kind = headers["warc-type"]
