@@ -145,3 +145,20 @@ def test_revisits_name_their_response(spark, tmp_path):
         assert headers[page]["warc-refers-to-target-uri"] == "http://c/9"
         assert headers[page]["warc-refers-to-date"] == headers["9"]["warc-date"] == "2024-01-01T00:00:00Z"
     assert "warc-refers-to" not in headers["4"]
+
+
+def test_files_are_rolled_by_bytes(spark, tmp_path):
+    """A page of 20 MB has a file of its own, in both formats; the others share theirs in order."""
+    rows = [(i, f"http://a/{i}", ("abc " * 50 if i != 7 else "y" * 20_000_000)) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    arc, warc = str(tmp_path / "arc"), str(tmp_path / "warc")
+    op9_archives.write_arc(pages, arc, file_bytes=4000)
+    contents = [op9_archives._unpacked(r["content"]) for r in op9_archives._files(spark, arc).collect()]
+    held = [[int(op9_archives._http_headers(b)[0]["x-page-id"]) for _, b in op9_archives.arc_records(c)] for c in contents if c]
+    assert sorted(sum(held, [])) == list(range(40)) and [7] in held
+    assert all(h == list(range(h[0], h[-1] + 1)) and len(h) <= 20 for h in held) and len(held) == 4
+    op9_archives.write_warc(op9_archives.read_arc(spark, arc), warc, file_records=10)
+    files = [list(op9_archives.warc_records(op9_archives._unpacked(r["content"]))) for r in op9_archives._files(spark, warc).collect()]
+    assert all(f[0][0]["warc-type"] == "warcinfo" and len(f) <= 11 for f in files if f)
+    got = {r["page_id"]: r["payload_bytes"] for r in op9_archives.read_warc(spark, warc).collect()}
+    assert got == {i: len(html) for i, _, html in rows}

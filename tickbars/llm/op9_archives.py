@@ -7,7 +7,8 @@ of bytes. `write_warc` synthesises each record's identifier (a name-based UUID),
 time. Each file begins with a warcinfo record.
 `read_warc` reads the records back by their declared lengths and checks each response's digest against its payload.
 
-Spark writes and reads all files, so they can be in any store. A file holds at most `FILE_RECORDS` records.
+Spark writes and reads all files, so they can be in any store. A file holds at most `FILE_RECORDS` records and `FILE_BYTES` before compression,
+or one longer record; a task reads one file at a time.
 
 Edge cases: null html is an empty payload; a null url is `about:blank`, white space in a url is percent-encoded; a null
 page_id is carried as such and never the response of others; rows that repeat a page_id stay separate records (of equal
@@ -33,6 +34,9 @@ from tickbars.session import work_dir
 
 LEAST_BYTES = 1000
 FILE_RECORDS = 1000
+FILE_BYTES = 64 << 20
+#: What a task gives back at once: records, and their bytes.
+BATCH, BATCH_BYTES = 200, 16 << 20
 CAPTURED = "20240101000000"
 #: Fixed values of the ARC format: what the version block says the fields of a header line are.
 ARC_FIELDS = {
@@ -40,7 +44,8 @@ ARC_FIELDS = {
     2: ("URL", "IP-address", "Archive-date", "Content-type", "Result-code", "Checksum", "Location", "Offset", "Filename", "Archive-length"),
 }
 _HTTP_END = b"\r\n\r\n"
-_SPEED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": FILE_RECORDS}
+_SPEED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+_PLACED = "value string, file int, place long"
 RECORDS = "page_id long, url string, captured string, content_type string, payload binary"
 
 
@@ -62,25 +67,75 @@ def _arc_record(version: int, page_id: int | None, url: str | None, html: str |
     return " ".join(line.get(f, "-") for f in ARC_FIELDS[version]) + "\n" + head + html
 
 
-def write_arc(pages: DataFrame, path: str) -> None:
+class Files:
+    """The archive files of a task, one after the other."""
+
+    def __init__(self, records: int, size: int):
+        self.most, self.longest = records, size
+        self.number, self.records, self.size, self.place = -1, 0, 0, 0
+
+    def begins(self, size: int) -> bool:
+        """Whether a record of this size begins a new file."""
+        new = self.number < 0 or self.records > 0 and (self.records >= self.most or self.size + size > self.longest)
+        if new:
+            self.number, self.records, self.size = self.number + 1, 0, 0
+        self.records += 1
+        self.size += size
+        return new
+
+    def placed(self, record: bytes) -> tuple[bytes, int, int]:
+        self.place += 1
+        return record, self.number, self.place
+
+
+def _batches(placed: Iterator[tuple[bytes, int, int]]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[bytes, int, int]] = []
+    size = 0
+    for one in placed:
+        held.append(one)
+        size += len(one[0])
+        if len(held) >= BATCH or size >= BATCH_BYTES:
+            yield _placed(held)
+            held, size = [], 0
+    if held:
+        yield _placed(held)
+
+
+def _placed(held: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
+    values, files, places = zip(*held)
+    columns = [pa.array(values, pa.binary()).cast(pa.string()), pa.array(files, pa.int32()), pa.array(places, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["value", "file", "place"])
+
+
+def _write(placed: DataFrame, path: str, between: str) -> None:
+    """A folder for each number, in which each task has a file; records stay in order."""
+    ordered = placed.sortWithinPartitions("file", "place").select("value", "file")
+    ordered.write.options(**_SPEED, lineSep=between).partitionBy("file").text(path)
+
+
+def write_arc(pages: DataFrame, path: str, file_records: int = FILE_RECORDS, file_bytes: int = FILE_BYTES) -> None:
     """Version 1 and 2 files by turns."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        placed, version, offset = 0, 2, 0
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, int, int]]:
+        files, version, offset = Files(file_records, file_bytes), 2, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                lines = []
-                for page_id, url, html in zip(*(c.to_pylist() for c in batch.slice(at, 200).columns)):
-                    if placed % FILE_RECORDS == 0:
-                        version = 3 - version
-                        lines.append(_version_block(version))
-                        placed, offset = placed + 1, len(lines[-1]) + 1
-                    lines.append(_arc_record(version, page_id, url, html, offset))
-                    placed, offset = placed + 1, offset + len(lines[-1].encode()) + 1
-                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+            for page_id, url, html in zip(*map(_values, batch.columns)):
+                if files.begins(len(html or "")):
+                    version = 3 - version
+                    block = _version_block(version).encode()
+                    offset = len(block) + 1
+                    yield files.placed(block)
+                record = _arc_record(version, page_id, url, html, offset).encode()
+                offset += len(record) + 1
+                yield files.placed(record)
 
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, "value string")
-    rows.write.options(**_SPEED, lineSep="\n").text(path)
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    _write(rows.mapInArrow(lambda batches: _batches(records(batches)), _PLACED), path, "\n")
+
+
+def _values(column: pa.Array) -> Iterator:
+    """One value at a time, not all of a batch as Python objects."""
+    return (v.as_py() for v in column)
 
 
 def _unpacked(content: bytes) -> bytes:
@@ -125,13 +180,15 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows: list[tuple] = []
+                size = 0
                 for line, block in arc_records(_unpacked(content.as_py())):
                     headers, payload = _http_headers(block)
                     page_id = headers.get("x-page-id", "")
                     rows.append((int(page_id) if page_id else None, line["URL"], line["Archive-date"], line["Content-type"], payload))
-                    if len(rows) == 200:
+                    size += len(payload)
+                    if len(rows) >= BATCH or size >= BATCH_BYTES:
                         yield _batch(rows, RECORDS)
-                        rows = []
+                        rows, size = [], 0
                 if rows:
                     yield _batch(rows, RECORDS)
 
@@ -202,7 +259,7 @@ def warc_record(page_id: int | None, url: str, captured: str, content_type: str,
     return "\r\n".join(lines).encode() + block
 
 
-def write_warc(records: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> None:
+def write_warc(records: DataFrame, path: str, least_bytes: int = LEAST_BYTES, file_records: int = FILE_RECORDS, file_bytes: int = FILE_BYTES) -> None:
     """records: RECORDS. Payloads are UTF-8."""
     records = records.withColumns({"digest": F.sha1("payload"), "size": F.octet_length("payload")})
     large = records.filter(F.col("size") >= least_bytes)
@@ -211,21 +268,16 @@ def write_warc(records: DataFrame, path: str, least_bytes: int = LEAST_BYTES) ->
     typed = records.join(firsts.select("digest", "size", "first"), ["digest", "size"], "left")
     typed = typed.withColumn("refers_to", F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first.page_id")), F.col("first")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        placed = 0
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, int, int]]:
+        files = Files(file_records, file_bytes)
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                lines = []
-                for row in zip(*(c.to_pylist() for c in batch.slice(at, 200).columns)):
-                    if placed % FILE_RECORDS == 0:
-                        lines.append(warc_info(f"{TaskContext.get().partitionId()} {placed}"))
-                        placed += 1
-                    lines.append(warc_record(*row))
-                    placed += 1
-                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary()).cast(pa.string())], ["value"])
-
-    values = typed.select("page_id", "url", "captured", "content_type", "payload", "digest", "refers_to").mapInArrow(run, "value string")
-    values.write.options(**_SPEED, lineSep="\r\n\r\n").text(path)
+            for row in zip(*map(_values, batch.columns)):
+                if files.begins(len(row[4])):
+                    yield files.placed(warc_info(f"{TaskContext.get().partitionId()} {files.number}"))
+                yield files.placed(warc_record(*row))
+
+    rows = typed.select("page_id", "url", "captured", "content_type", "payload", "digest", "refers_to")
+    _write(rows.mapInArrow(lambda batches: _batches(placed(batches)), _PLACED), path, "\r\n\r\n")
 
 
 def warc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
