@@ -162,3 +162,13 @@ def test_files_are_rolled_by_bytes(spark, tmp_path):
     assert all(f[0][0]["warc-type"] == "warcinfo" and len(f) <= 11 for f in files if f)
     got = {r["page_id"]: r["payload_bytes"] for r in op9_archives.read_warc(spark, warc).collect()}
     assert got == {i: len(html) for i, _, html in rows}
+
+
+def test_url_filter_on_odd_rows(spark):
+    """Equal rows, a very long page, nulls, and columns with the operator's own names."""
+    rows = [(page_id, url, html) for page_id, url, html, _ in LINKED] + [(1, "http://d.org", "<p>")] * 3
+    rows += [(100, "http://big.org/x", "x" * 2_000_000 + link("c", "http://k.net/fr/9")), (None, None, None), (101, None, "<p>"), (102, "no scheme", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS host", "1 AS node", "'y' AS verdict", "2 AS u", "3 AS root")
+    got = sorted(((r["page_id"], r["verdict"]) for r in op6_url_filter.filtered(df).select("page_id", "verdict").collect()), key=repr)
+    want = [(page_id, verdict) for page_id, _, _, verdict in LINKED] + [(1, "block")] * 3 + [(100, "block"), (None, "allow"), (101, "allow"), (102, "allow")]
+    assert got == sorted(want, key=repr)
