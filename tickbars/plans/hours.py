@@ -8,7 +8,8 @@ trailing window are cut by it, and are read from the minutes themselves.
 from __future__ import annotations
 
 from collections.abc import Collection
-from datetime import date, datetime, timezone
+from dataclasses import dataclass
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,32 +33,51 @@ def minutes_of_hours(spark: SparkSession, tables: MarketTables, changed: DataFra
     return tables.candles.current(versions.join(changed, matches, "left_semi"))
 
 
+@dataclass(frozen=True)
+class Span:
+    """What a batch of minutes touches: its rows, and the dates and the first and last minute of those that count."""
+
+    rows: int
+    days: list[date]
+    first: datetime | None
+    last: datetime | None
+
+
+def span_of(candles: DataFrame, since: Column | None = None) -> Span:
+    """With `since`, hours that ended before it don't count: a window that only moves on never needs them.
+
+    The dates are brought to the driver; a micro-batch has few, and a year's catching up 365.
+    """
+    start = F.col("candle_start")
+    counting = start if since is None else F.when(start >= hour_of(since), start)
+    seen = candles.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.to_date(counting)).alias("days"), F.min(counting).alias("first"), F.max(counting).alias("last")).first()
+    return Span(seen["n"], sorted(seen["days"]), seen["first"], seen["last"])
+
+
 def refresh_hours(
-    spark: SparkSession, tables: MarketTables, candles: DataFrame, run: int, batch_id: int, since: Column | None = None
+    spark: SparkSession, tables: MarketTables, candles: DataFrame, run: int, batch_id: int, span: Span | None = None
 ) -> list[date]:
     """Make the states of these candles' hours anew from the stored minutes; the dates written.
 
-    `candles` are those just stored; with `since`, hours that ended before it are left, as a window that only moves on never needs them. Call it after they are: the state's version is the time before the minutes are read, so of two
-    writers the one whose read saw more wins.
+    `candles` are those just stored, `span` is what they touch. Call it after they are: the state's version is the time before the
+    minutes are read, so of two writers the one whose read saw more wins.
     """
     read_at = F.lit(datetime.now(timezone.utc))
-    if since is not None:
-        candles = candles.filter(F.col("candle_start") >= hour_of(since))
-    # A batch's dates; a micro-batch has few, and a year's catching up 365.
-    spans = candles.groupBy(F.to_date("candle_start").alias("day")).agg(F.min("candle_start").alias("first"), F.max("candle_start").alias("last"))
-    found = spans.filter("day IS NOT NULL").collect()
-    if not found:
+    span = span_of(candles) if span is None else span
+    if not span.days:
         return []
-    first = hour_of(F.lit(min(r["first"] for r in found)))
-    last = hour_of(F.lit(max(r["last"] for r in found))) + F.expr("INTERVAL 1 HOUR")
-    days = sorted(r["day"] for r in found)
-    minutes = minutes_of_hours(spark, tables, changed_hours(candles), days, first, last)
-    tables.hours.upsert(hourly_candles(minutes).withColumn("updated_at", read_at), run, batch_id, files=1 if len(days) == 1 else None, unique=True)
-    return days
+    first, last = hour_of(F.lit(span.first)), hour_of(F.lit(span.last)) + F.expr("INTERVAL 1 HOUR")
+    counting = candles.filter(F.col("candle_start") >= first)
+    minutes = minutes_of_hours(spark, tables, changed_hours(counting), span.days, first, last)
+    tables.hours.upsert(hourly_candles(minutes).withColumn("updated_at", read_at), run, batch_id, files=1 if len(span.days) == 1 else None, unique=True)
+    return span.days
 
 
 def rebuild_hours(spark: SparkSession, tables: MarketTables, run: int, batch_id: int, since: Column, until: Column) -> None:
     """States of all hours that touch [since, until]: for a start after other writers, or a lost table."""
+    ends = spark.sql("SELECT 1").select(F.to_date(hour_of(since)), F.to_date(until)).first()
+    if not tables.candles.folders(spark, days=[ends[0] + timedelta(n) for n in range((ends[1] - ends[0]).days + 1)]):
+        return
     read_at = F.lit(datetime.now(timezone.utc))
     minutes = tables.candles.read(spark, hour_of(since), hour_of(until) + F.expr("INTERVAL 1 HOUR"))
     whole = starting_in(minutes, hour_of(since), hour_of(until) + F.expr("INTERVAL 1 HOUR"))

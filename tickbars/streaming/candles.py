@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickbars.functions import instant, lookback_start
 from tickbars.operators.candles import tick_candles
 from tickbars.operators.quality import accepted, check_ticks, rejected
-from tickbars.plans.hours import rebuild_hours, refresh_hours
+from tickbars.plans.hours import rebuild_hours, refresh_hours, span_of
 from tickbars.plans.summary import refresh_summary
 from tickbars.schemas import TRIGGER_INTERVAL, WATERMARK
 from tickbars.sources.tables import MarketTables, RunFiles
@@ -108,13 +108,13 @@ def start_candles(
         # Without this, each action would run the stateful plan again.
         batch.persist()
         try:
-            changed = batch.count()
-            if changed == 0:
+            now = instant(datetime.now(timezone.utc) if as_of is None else as_of)
+            span = span_of(batch, lookback_start(now))
+            if span.rows == 0:
                 return
-            tables.candles.upsert(batch, run, batch_id, files=-(-changed // candles_per_file), unique=True)
+            tables.candles.upsert(batch, run, batch_id, files=-(-span.rows // candles_per_file), unique=True)
             if refresh:
-                now = instant(datetime.now(timezone.utc) if as_of is None else as_of)
-                refresh_hours(spark, tables, batch, run, batch_id, lookback_start(now))
+                refresh_hours(spark, tables, batch, run, batch_id, span)
                 refresh_summary(spark, tables, run, batch_id, now, from_states=True)
             # The first batch of a start merges what an earlier start has left.
             if next(counted) % merge_every == 0:
