@@ -35,9 +35,10 @@ def minutes_of_hours(spark: SparkSession, tables: MarketTables, changed: DataFra
 
 @dataclass(frozen=True)
 class Span:
-    """What a batch of minutes touches: its rows, and the dates and the first and last minute of those that count."""
+    """What a batch of minutes touches: its rows and their dates, and the dates and the first and last minute of those that count."""
 
     rows: int
+    dates: list[date]
     days: list[date]
     first: datetime | None
     last: datetime | None
@@ -50,8 +51,14 @@ def span_of(candles: DataFrame, since: Column | None = None) -> Span:
     """
     start = F.col("candle_start")
     counting = start if since is None else F.when(start >= hour_of(since), start)
-    seen = candles.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.to_date(counting)).alias("days"), F.min(counting).alias("first"), F.max(counting).alias("last")).first()
-    return Span(seen["n"], sorted(seen["days"]), seen["first"], seen["last"])
+    seen = candles.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.collect_set(F.to_date(start)).alias("dates"),
+        F.collect_set(F.to_date(counting)).alias("days"),
+        F.min(counting).alias("first"),
+        F.max(counting).alias("last"),
+    ).first()
+    return Span(seen["n"], sorted(seen["dates"]), sorted(seen["days"]), seen["first"], seen["last"])
 
 
 def refresh_hours(

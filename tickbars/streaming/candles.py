@@ -116,6 +116,8 @@ def start_candles(
             if refresh:
                 refresh_hours(spark, tables, batch, run, batch_id, span)
                 refresh_summary(spark, tables, run, batch_id, now, from_states=True)
+            for files in written:
+                files.wrote(span.dates)
             # The first batch of a start merges what an earlier start has left.
             if next(counted) % merge_every == 0:
                 for files in written:
