@@ -18,10 +18,14 @@ def value(of: Column, name: str, kind: str) -> Column:
     return F.try_variant_get(of, f"$.{name}", kind)
 
 
-def is_number(given: Column) -> Column:
-    return F.schema_of_variant(given).rlike("^(BIGINT|DECIMAL|DOUBLE)")
+def is_text(of: Column, name: str) -> Column:
+    """Whether the field is a text: of all kinds of values only those become bytes."""
+    return value(of, name, "binary").isNotNull()
 
 
 def fields_null(of: Column, names: Mapping[str, str]) -> list[tuple[Column, str]]:
-    """Checks that fail for a null written out; names: the field's, and the one in the reason."""
-    return [(F.is_variant_null(field(of, name)), f"null {shown}") for name, shown in names.items()]
+    """Checks that fail for a null written out; names: the field's, which a column has that holds its value, to the one in the reason.
+
+    Only a field without a value is looked at again.
+    """
+    return [(F.col(name).isNull() & F.is_variant_null(field(of, name)), f"null {shown}") for name, shown in names.items()]

@@ -49,12 +49,16 @@ def all_bars(payloads: DataFrame) -> DataFrame:
     bars = decode_payloads(payloads).select("symbol", "failed", F.posexplode_outer("values").alias("position", "bar"))
     bars = bars.filter(F.col("position").isNotNull() | F.col("failed").isNotNull())
     bar = F.col("bar")
-    prices = {f"{n}_price": value(bar, n, "string").try_cast("double").try_cast(PRICE) for n in ("open", "high", "low", "close")}
-    start = value(bar, "datetime", "string").try_cast("timestamp_ntz").cast("timestamp")
-    volume = F.when(field(bar, "volume").isNull(), F.lit(0).cast("bigint")).otherwise(value(bar, "volume", "string").try_cast("double").try_cast("bigint"))
-    shown = {"datetime": "candle_start", **{n.removesuffix("_price"): n for n in prices}, "volume": "volume"}
+    names = ("open", "high", "low", "close")
+    # Each field is read once, here; a generator would read it wherever it is named.
+    bars = bars.select("*", *(value(bar, n, "string").alias(n) for n in ("datetime", *names, "volume")))
+    prices = {f"{n}_price": F.col(n).try_cast("double").try_cast(PRICE) for n in names}
+    start = F.col("datetime").try_cast("timestamp_ntz").cast("timestamp")
+    units = F.col("volume").try_cast("double").try_cast("bigint")
+    volume = F.when(F.col("volume").isNotNull(), units).when(field(bar, "volume").isNull(), F.lit(0).cast("bigint"))
+    shown = {"datetime": "candle_start", **{n: f"{n}_price" for n in names}, "volume": "volume"}
     fields = F.struct(
-        value(bar, "datetime", "string").alias("datetime"),
+        F.col("datetime"),
         start.alias("candle_start"),
         (start + F.expr("INTERVAL 1 HOUR")).alias("candle_end"),
         *(price.alias(name) for name, price in prices.items()),
