@@ -98,6 +98,21 @@ def test_near_stage(spark):
     assert op7_simhash.stage(spark, df.filter("false"), "").collect() == []
 
 
+def test_near_stage_looks_up_the_dropped_rows(spark, plan):
+    """The kept rows' ids are too many to broadcast here, the dropped ones' are not: no text is shuffled."""
+    pick = random.Random(4)
+    rows = [(i, " ".join(f"w{pick.randrange(10**6)}" for _ in range(20))) for i in range(4000)]
+    df = spark.createDataFrame(rows + [(4000 + i, rows[i][1]) for i in range(3)], "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        kept = op7_simhash.stage(spark, df, "")
+        text = plan(kept).split("== Physical Plan ==")[1]
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "hashpartitioning" not in text
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(4000))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("operator", [op2_exact_dedup, op7_simhash])
 def test_ids_outlive_a_change_of_splits(spark, tmp_path, monkeypatch, operator):
     """After the first action the source is split otherwise, as it is when executors come or go."""

@@ -50,6 +50,18 @@ def test_mix_stage(spark, sources):
     assert op10_mixing.stage(spark, sources.filter("false"), "").collect() == []
 
 
+def test_whole_ranges_are_not_shuffled(spark, plan):
+    """Texts go to other tasks in one exchange alone, that of the ranges in which targets end: its rows are judged before it."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    text = plan(op10_mixing.stage(spark, docs, "")).split("== Physical Plan ==")[1]
+    lines = text.splitlines()
+    shuffles = [k for k, line in enumerate(lines) if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line]
+    with_text = [k for k in shuffles if "text#" in lines[k + 1]]
+    assert len(with_text) == 1
+    assert "<=> _mix_cut" in lines[with_text[0] + 2]
+    assert "SortMergeJoin" not in text
+
+
 def naive_best_fit(lengths, capacity):
     left, used = [], 0
     for n in lengths:

@@ -4,13 +4,16 @@ Sources in code-point order (null last) weigh `WEIGHTS`, repeating, and share `S
 `MOST` times its source's size and the excess is reshared by weight, until none is above: every target is the lesser
 of its stop and one level times its weight, and the level is found by a running sum over the sources.
 
-Every document gets a hash-random key. A source's rows are dealt to ranges of the key and sorted within; prefix sums
-within the ranges and over the ranges' totals give the words before each document. A source is taken whole as many
-times as its target holds it, and then in key order up to the target exactly: the last document is taken in part.
+Every document gets a hash-random key. A source's rows are dealt to ranges of the key; prefix sums over the ranges' totals
+tell in which range a source's target ends. A source is taken whole as many times as its target holds it, and then in key order up
+to the target exactly: ranges before the last are taken whole, later ones not at all, and the last range's rows are
+sorted and added up one by one, so that its last document is taken in part.
 
-A hot source is split over as many ranges as it needs; one task sorts about `RANGE_ROWS` rows. Prefix sums of the ranges' totals
-are taken in blocks of `BLOCK_RANGES`, and then over a source's blocks, which are 12,000 for 10**11 rows. Three windows over the
-sources themselves see one small row for each, all in one task: sources are named collections, thousands and not millions.
+Only those last ranges are shuffled with their texts, one of about `RANGE_ROWS` rows for each source, however large the corpus is. Other rows are judged
+where they are read, by one stored row for each source, which Spark broadcasts if it is small enough. A hot source is split over as many ranges
+as it needs. Prefix sums of the ranges' totals are taken in blocks of `BLOCK_RANGES`, and then over a source's blocks, which are
+12,000 for 10**11 rows. Three windows over the sources themselves see one small row for each, all in one task: sources are
+named collections, thousands and not millions.
 
 Edge cases: an empty table gives no rows; a text that is null or without words has size 0 and nothing of it is taken;
 a null doc_id comes first among equal keys, and rows that share one follow in the order of their size and text's hash;
@@ -22,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickbars.llm.texts import stored
+
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
@@ -53,15 +58,14 @@ def mix(docs: DataFrame, range_rows: int = RANGE_ROWS, block_ranges: int = BLOCK
     """The rows with _mix_words, _mix_size, _mix_target and _mix_taken."""
     words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     key = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, _KEY_DIGITS)
-    rows = docs.withColumns({"_mix_words": words, "_mix_source": F.col("source"), "_mix_key": key, "_mix_tie": F.xxhash64("text")})
-    sources = targets(rows.groupBy("_mix_source").agg(F.sum("_mix_words").alias("_mix_size"), F.count(F.lit(1)).alias("_mix_rows")))
-    same_source = F.col("_mix_source").eqNullSafe(F.col("_mix_of"))
-    rows = rows.join(sources.withColumnRenamed("_mix_source", "_mix_of"), same_source).drop("_mix_of")
-    place = F.conv("_mix_key", 16, 10).cast("double") / float(16**_KEY_DIGITS)
-    rows = rows.withColumn("_mix_range", F.floor(place * F.ceil(F.col("_mix_rows") / range_rows)))
-    in_range = Window.partitionBy("_mix_source", "_mix_range").orderBy("_mix_key", "doc_id", "_mix_words", "_mix_tie")
-    rows = rows.withColumn("_mix_within", F.sum("_mix_words").over(in_range.rowsBetween(Window.unboundedPreceding, -1)))
-    ranges = rows.groupBy("_mix_source", "_mix_range").agg(F.sum("_mix_words").alias("words"))
+    place = F.conv(key, 16, 10).cast("double") / float(16**_KEY_DIGITS)
+    at = F.floor(place * F.ceil(F.col("_mix_rows") / range_rows))
+    same_source = F.col("source").eqNullSafe(F.col("_mix_of"))
+    counts = stored(docs.groupBy(F.col("source").alias("_mix_of")).agg(F.count(F.lit(1)).alias("_mix_rows")), "mixing-rows")
+    dealt = docs.join(counts, same_source).select(F.col("source").alias("_mix_source"), at.alias("_mix_range"), words.alias("_mix_words"))
+    ranges = dealt.groupBy("_mix_source", "_mix_range").agg(F.sum("_mix_words").alias("words"), F.count(F.lit(1)).alias("rows"))
+    ranges = stored(ranges, "mixing-ranges")
+    sources = targets(ranges.groupBy("_mix_source").agg(F.sum("words").alias("_mix_size"), F.sum("rows").alias("_mix_rows")))
     # Ranges are added up within blocks and the blocks' totals over the source, so no window has more than a block's ranges or a source's blocks.
     ranges = ranges.withColumn("block", F.floor(F.col("_mix_range") / block_ranges))
     blocks = ranges.groupBy(F.col("_mix_source").alias("of"), F.col("block").alias("at")).agg(F.sum("words").alias("words"))
@@ -71,14 +75,25 @@ def mix(docs: DataFrame, range_rows: int = RANGE_ROWS, block_ranges: int = BLOCK
     ranges = ranges.withColumn("ranges_before", F.coalesce(F.sum("words").over(in_block), F.lit(0)))
     ranges = ranges.join(blocks, F.col("_mix_source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at")))
     ranges = ranges.select(
-        F.col("_mix_source").alias("_mix_of"), F.col("_mix_range").alias("_mix_at"), (F.col("blocks_before") + F.col("ranges_before")).alias("_mix_earlier")
+        F.col("_mix_source").alias("_mix_of"), F.col("_mix_range").alias("_mix_cut"), (F.col("blocks_before") + F.col("ranges_before")).alias("_mix_earlier"), ranges["words"]
     )
-    rows = rows.join(ranges, same_source & (F.col("_mix_range") == F.col("_mix_at")))
-    before = F.col("_mix_earlier") + F.coalesce("_mix_within", F.lit(0))
+    # For each source how often it is taken whole, what is left then, and the range in which that ends: none if no document has words.
     budget = F.round("_mix_target").cast("long")
-    times = F.when(F.col("_mix_size") > 0, F.floor(budget / F.col("_mix_size"))).otherwise(0)
-    last = F.least(F.greatest(budget - times * F.col("_mix_size") - before, F.lit(0)), F.col("_mix_words"))
-    rows = rows.withColumn("_mix_taken", (times * F.col("_mix_words") + last).cast("long"))
+    sources = sources.withColumn("_mix_times", F.when(F.col("_mix_size") > 0, F.floor(budget / F.col("_mix_size"))).otherwise(0))
+    sources = sources.withColumn("_mix_left", budget - F.col("_mix_times") * F.col("_mix_size"))
+    ends = (F.col("_mix_earlier") <= F.col("_mix_left")) & (F.col("_mix_left") < F.col("_mix_earlier") + F.col("words"))
+    cuts = sources.join(ranges, F.col("_mix_source").eqNullSafe(F.col("_mix_of")) & ends, "left")
+    cuts = cuts.select(F.col("_mix_source").alias("_mix_of"), "_mix_rows", "_mix_size", "_mix_target", "_mix_times", "_mix_left", "_mix_cut", "_mix_earlier")
+    rows = docs.join(stored(cuts, "mixing-cuts"), same_source).withColumn("_mix_range", at)
+    in_cut = F.col("_mix_range").eqNullSafe(F.col("_mix_cut"))
+    whole = rows.filter(~in_cut).withColumn("_mix_words", words)
+    whole = whole.withColumn("_mix_last", F.when(F.col("_mix_range") < F.col("_mix_cut"), F.col("_mix_words")).otherwise(0))
+    parted = rows.filter(in_cut).withColumns({"_mix_words": words, "_mix_key": key, "_mix_tie": F.xxhash64("text")})
+    in_range = Window.partitionBy("_mix_of", "_mix_range").orderBy("_mix_key", "doc_id", "_mix_words", "_mix_tie")
+    before = F.col("_mix_earlier") + F.coalesce(F.sum("_mix_words").over(in_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parted = parted.withColumn("_mix_last", F.least(F.greatest(F.col("_mix_left") - before, F.lit(0)), F.col("_mix_words"))).drop("_mix_key", "_mix_tie")
+    taken = (F.col("_mix_times") * F.col("_mix_words") + F.col("_mix_last")).cast("long")
+    rows = whole.unionByName(parted).withColumn("_mix_taken", taken)
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns], "_mix_words", "_mix_size", "_mix_target", "_mix_taken")
 
 

@@ -110,7 +110,9 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = near_groups(rows)
     first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_near_row")).alias("first"))
     kept = stored(first.select("first._near_row"), "simhash-kept")
-    return rows.join(kept, "_near_row", "left_semi").select(*docs.columns)
+    # By the dropped rows, as they are far fewer than the kept ones: Spark broadcasts them while it can, and then shuffles no text.
+    dropped = stored(rows.select("_near_row").join(kept, "_near_row", "left_anti"), "simhash-dropped")
+    return rows.join(dropped, "_near_row", "left_anti").select(*docs.columns)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
