@@ -47,6 +47,16 @@ def test_bytes_of_tricky_texts(tricky, hot):
     assert result(op4_suffix_dedup.remove_repeats(tricky, hot).drop("kept")) == expected(tricky.collect(), brute.suffix_dedup)
 
 
+def test_large_group_behind_small_ones(spark):
+    """A group of over 4,096 contexts stays whole, wherever it begins in a batch."""
+    one = F.when(F.col("id") == 14999, 9000).otherwise(F.col("id")).cast("string")
+    rows = spark.range(0, 15000, 1, 1).select(
+        F.least("id", F.lit(9000)).alias("around"), F.col("id").alias("row_key"), F.lit(0).alias("lo"), F.lit(0).alias("hi"),
+        F.lit(True).alias("open"), F.lit(0).alias("anchor"), F.encode(F.rpad(one, op4_suffix_dedup.LENGTH, "-"), "UTF-8").alias("bytes"),
+    )
+    assert result(op4_suffix_dedup.rim_windows(rows)) == [(14999, 0, 0), (9000, 0, 0)]
+
+
 def test_words_of_tricky_texts(tricky):
     assert result(op8_substring_dedup.remove_repeats(tricky).drop("kept")) == expected(tricky.collect(), brute.substring_dedup)
 

@@ -158,12 +158,11 @@ def rim_windows(rows: DataFrame) -> DataFrame:
                 groups = held[-1].column(0)
                 if sum(b.num_rows for b in held) < 4096 or held[0].column(0)[0] == groups[-1]:
                     continue
-                values = groups.to_numpy(zero_copy_only=False)
-                cut = int(np.flatnonzero(values != values[-1])[-1]) + 1 if (values != values[-1]).any() else 0
-                rest = held[-1].slice(cut)
-                held[-1] = held[-1].slice(0, cut)
-                yield solve(pa.Table.from_batches(held))
-                held = [rest]
+                table = pa.Table.from_batches(held)  # the last group may have begun in any of them
+                values = table.column(0).to_numpy()
+                cut = int(np.flatnonzero(values != values[-1])[-1]) + 1
+                yield solve(table.slice(0, cut))
+                held = table.slice(cut).to_batches()
         if held and sum(b.num_rows for b in held):
             yield solve(pa.Table.from_batches(held))
 
